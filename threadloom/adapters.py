@@ -2,7 +2,7 @@
 
 ``star``: customers ask, orders answer them, suppliers are posts of another type and line items
 are comments on the orders. ``conversation``: a conversation is a thread whose user turns are
-questions, so most threads have several. Each table keeps a row number from its file.
+questions, so most threads have several. Stacked posts keep the row numbers of their files.
 """
 
 from __future__ import annotations
@@ -18,14 +18,15 @@ from threadloom.sources import with_row_id
 
 
 def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return with_row_id(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _as_posts(df: DataFrame, **columns: Column) -> DataFrame:
     typed = [
         columns.get(name, F.lit(None)).cast(dtype).alias(name) for name, _, dtype in POST_FIELDS
     ]
-    return df.select(*typed, empty_array(COMMENT_LIST).alias("comments"), ROW_ID)
+    numbered = with_row_id(df)
+    return numbered.select(*typed, empty_array(COMMENT_LIST).alias("comments"), ROW_ID)
 
 
 def _prefixed(prefix: str, column: str) -> Column:
@@ -91,7 +92,6 @@ def star_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").alias("creation_date"),
         F.lit(None).cast("string").alias("user_display_name"),
         F.col("l_suppkey").cast("string").alias("user_id"),
-        ROW_ID,
     )
 
 
@@ -113,7 +113,7 @@ def conversation_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, _, dtype in POST_FIELDS
     ]
     thread = F.col("conv_id").cast("string").alias("thread_id")
-    return posts.select(*typed, thread, F.col("turn"), ROW_ID)
+    return posts.select(*typed, thread, F.col("turn"))
 
 
 def _escaped(text: Column) -> Column:

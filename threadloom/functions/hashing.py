@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 # Send the code of this module along with the function, so that executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,7 +48,7 @@ def hash_batch(strings: pa.Array) -> pa.Array:
     return pa.array(hashes.view(np.int32), mask=np.asarray(strings.is_null()))
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(IntegerType())
 def string_hash(strings: pa.Array) -> pa.Array:
     """The signed 32-bit hash of a string column."""
     return hash_batch(strings)

@@ -10,10 +10,10 @@ from threadloom.operators.rows import comment_struct
 from threadloom.operators.skew import (
     MAX_GROUP,
     Splits,
+    divide,
+    group_divided,
     keep_keys,
     measure,
-    part_of,
-    spread,
     with_parts,
 )
 from threadloom.schemas import COMMENT_LIST
@@ -27,11 +27,10 @@ def comments_per_post(comments: DataFrame) -> DataFrame:
 
 def comment_lists(comments: DataFrame, splits: Splits | None) -> DataFrame:
     """``post_id``, ``slice`` and the list of the slice's comments, oldest first."""
-    keyed = comments.where(F.col("post_id").isNotNull()).withColumn("_spread", spread(comments))
-    sized = with_parts(keyed, "post_id", splits, "_slices")
-    sliced = sized.withColumn("slice", part_of(F.col("_slices"), F.col("_spread")))
+    keyed = comments.where(F.col("post_id").isNotNull())
     items = ordered_list(comment_struct(), F.col("creation_date"), F.col("id"))
-    return sliced.groupBy("post_id", "slice").agg(items.alias("comments"))
+    divided = divide(keyed, "post_id", splits, "slice")
+    return group_divided(divided, "slice", items.alias("comments"))
 
 
 def nest_comments(posts: DataFrame, comments: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
@@ -43,12 +42,12 @@ def nest_comments(posts: DataFrame, comments: DataFrame, max_group: int = MAX_GR
     """
     splits = measure(comments_per_post(comments), "post_id", "n_comments", max_group)
     lists = comment_lists(comments, splits).withColumnRenamed("slice", "_slice")
-    parents = with_parts(posts.drop("comments"), "id", splits, "_slices")
-    if splits is None:
-        parents = parents.withColumn("slice", F.lit(0))
-    else:
-        parents = parents.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-    match = (parents["id"] == lists["post_id"]) & (parents["slice"] == lists["_slice"])
+    parents = posts.drop("comments").withColumn("slice", F.lit(0))
+    match = parents["id"] == lists["post_id"]
+    if splits is not None:
+        sized = with_parts(posts.drop("comments"), "id", splits, "_slices")
+        parents = sized.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
+        match = (parents["id"] == lists["post_id"]) & (parents["slice"] == lists["_slice"])
     joined = parents.join(lists, match, "left")
     return joined.withColumn("comments", or_empty("comments", COMMENT_LIST)).drop(
         "_slices", "_slice", "post_id"

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from threadloom.functions import ordered_list
 from threadloom.operators.skew import (
     MAX_GROUP,
-    assign_parts,
+    divide,
+    group_divided,
     measure,
-    part_of,
-    spread,
-    with_parts,
+    measure_groups,
+    numbered,
 )
 from threadloom.schemas import ROW_ID
 
@@ -26,9 +26,9 @@ def group_by_key(
     """All rows of each key as a list of structs: columns ``key``, ``part`` and ``items``."""
     kept = df.where(F.col(key).isNotNull())
     values = [c for c in df.columns if c != ROW_ID]
-    parted = assign_parts(kept, key, max_group)
+    divided = divide(kept, key, measure_groups(kept, key, max_group), "part")
     items = ordered_list(F.struct(*values), *(order or []))
-    return parted.groupBy(key, "part").agg(items.alias("items"))
+    return group_divided(divided, "part", items.alias("items")).select(key, "part", "items")
 
 
 def co_group(
@@ -47,12 +47,10 @@ def co_group(
     stacked = []
     for name, (df, key) in kept.items():
         values = [c for c in df.columns if c != ROW_ID]
-        rows = df.select(
-            F.col(key).alias("key"), spread(df).alias("_spread"), F.struct(*values).alias(name)
-        )
-        sized = with_parts(rows, "key", splits, "_parts")
-        part = part_of(F.col("_parts"), F.col("_spread"))
-        stacked.append(sized.select("key", part.alias("part"), name))
+        rows = numbered(df) if splits else df
+        row_id = [ROW_ID] if ROW_ID in rows.columns else []
+        stacked.append(rows.select(F.col(key).alias("key"), F.struct(*values).alias(name), *row_id))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
     lists = [ordered_list(F.col(name)).alias(name) for name in tables]
-    return both.groupBy("key", "part").agg(*lists)
+    groups = group_divided(divide(both, "key", splits, "part"), "part", *lists)
+    return groups.select("key", "part", *tables)

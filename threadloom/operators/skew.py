@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.schemas import ROW_ID
+from threadloom.sources import with_row_id
 
 # Rows one nested list may hold. A part also stays far below Spark's 2 GB row limit.
 MAX_GROUP = 10_000
@@ -40,17 +42,22 @@ def measure(
     key: str,
     weight: str,
     max_group: int = MAX_GROUP,
+    *,
+    rows: str | None = None,
     carry: str | None = None,
 ) -> Splits | None:
     """Find the keys whose weight is above the limit; None when there are none.
 
-    ``weights`` has one row per key. ``carry`` names a further column to keep with each key.
+    ``weights`` has one row per key. A key with more than the limit of ``rows`` is in the table
+    too, but only the weight decides the number of parts. ``carry`` names a further column to
+    keep with each key.
     """
-    parts = F.ceil(F.col(weight) / max_group).cast("int").alias("parts")
-    heavy = weights.where(F.col(weight) > max_group).select(
-        F.col(key).alias("split_key"), parts, *([carry] if carry else [])
+    parts = F.ceil(F.greatest(F.col(weight), F.lit(1)) / max_group).cast("int").alias("parts")
+    size = F.greatest(weight, rows) if rows else F.col(weight)
+    heavy = weights.where(F.col(key).isNotNull() & (size > max_group))
+    table, n = bounded(
+        heavy.select(F.col(key).alias("split_key"), parts, *([carry] if carry else []))
     )
-    table, n = bounded(heavy)
     return Splits(table) if n else None
 
 
@@ -69,9 +76,19 @@ def with_parts(df: DataFrame, key: str, splits: Splits | None, name: str) -> Dat
     return joined.withColumn(name, F.coalesce(name, F.lit(1)))
 
 
-def spread(df: DataFrame) -> Column:
-    """What tells the rows of one group apart: the stored row number where there is one."""
-    return F.col(ROW_ID) if ROW_ID in df.columns else F.xxhash64(*df.columns)
+def numbered(df: DataFrame) -> DataFrame:
+    """Add what tells the rows of one group apart.
+
+    For a Parquet scan that is the row's place in its file: it depends on the stored data alone,
+    so a retried task repeats it, and exact copies of a row differ. Other tables get a hash of
+    the whole row, which leaves exact copies together.
+    """
+    if ROW_ID in df.columns:
+        return df
+    try:
+        return with_row_id(df)
+    except AnalysisException:
+        return df.withColumn(ROW_ID, F.xxhash64(*df.columns))
 
 
 def part_of(parts: Column, *row: Column) -> Column:
@@ -79,16 +96,28 @@ def part_of(parts: Column, *row: Column) -> Column:
     return F.when(parts == 1, 0).otherwise(F.pmod(F.xxhash64(*row), parts).cast("int"))
 
 
-def assign_parts(df: DataFrame, key: str, max_group: int = MAX_GROUP, name: str = "part"):
-    """Measure the groups of ``key`` and add each row's part number."""
-    splits = measure_groups(df, key, max_group)
+def divide(df: DataFrame, key: str, splits: Splits | None, name: str) -> tuple[DataFrame, list]:
+    """Add each row's part number, and give the columns to group by.
+
+    Without splits the key alone groups, so that the grouped rows can be joined on it where they
+    are.
+    """
     if splits is None:
-        return df.withColumn(name, F.lit(0))
-    row = spread(df)
-    sized = with_parts(df.withColumn("_spread", row), key, splits, "_parts")
-    return sized.withColumn(name, part_of(F.col("_parts"), F.col("_spread"))).drop(
-        "_spread", "_parts"
-    )
+        return df.withColumn(name, F.lit(0)), [key]
+    sized = with_parts(numbered(df), key, splits, "_parts")
+    parted = sized.withColumn(name, part_of(F.col("_parts"), F.col(ROW_ID))).drop("_parts")
+    return (parted if ROW_ID in df.columns else parted.drop(ROW_ID)), [key, name]
+
+
+def group_divided(divided: tuple[DataFrame, list], name: str, *aggregates: Column) -> DataFrame:
+    """Collect divided rows into lists; the part number is 0 where nothing was split.
+
+    The rows are shuffled as they are: collecting before the shuffle as well would only sort and
+    copy them once more, since lists do not shrink.
+    """
+    df, keys = divided
+    grouped = df.repartition(*keys).groupBy(*keys).agg(*aggregates)
+    return grouped if name in keys else grouped.withColumn(name, F.lit(0))
 
 
 def keep_keys(df: DataFrame, key: str, keys: DataFrame, how: str = "left_semi") -> DataFrame:

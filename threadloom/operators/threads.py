@@ -23,13 +23,14 @@ from threadloom.operators.routing import is_answer, is_question, with_thread_key
 from threadloom.operators.skew import (
     MAX_GROUP,
     Splits,
+    group_divided,
     keep_keys,
     measure,
+    numbered,
     part_of,
-    spread,
     with_parts,
 )
-from threadloom.schemas import COMMENT_LIST, POST_SCALARS
+from threadloom.schemas import COMMENT_LIST, POST_SCALARS, ROW_ID
 
 
 def missing_question_keys(posts: DataFrame) -> DataFrame:
@@ -63,14 +64,12 @@ def _rows_per_part(members: DataFrame, threads: Splits | None, slices: Splits |
     ``i``. Of several questions with one key only the last can appear, so it is picked before
     it is repeated.
     """
-    sized = with_parts(members, "thread_key", threads, "_parts")
     if threads is None:
-        sized = sized.withColumn("n_answers", F.lit(None).cast("int"))
-    sized = with_parts(sized, "id", slices, "_slices")
-    if threads is None and slices is None:
-        return sized.withColumn("part", F.lit(0)).withColumn("slice", F.lit(0))
+        return members.withColumns({"part": F.lit(0), "slice": F.lit(0)})
 
-    wide_question = is_question() & (F.col("_parts") > 1)
+    sized = with_parts(members, "thread_key", threads, "_parts")
+    sized = with_parts(sized, "id", slices, "_slices")
+    wide_question = is_question() & F.col("n_answers").isNotNull()
     wide = sized.where(wide_question)
     winners = (
         wide.groupBy("thread_key")
@@ -82,7 +81,7 @@ def _rows_per_part(members: DataFrame, threads: Splits | None, slices: Splits |
     others = (
         sized.where(~wide_question)
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-        .withColumn("part", part_of(F.col("_parts"), F.col("_spread"), F.col("slice")))
+        .withColumn("part", part_of(F.col("_parts"), F.col(ROW_ID), F.col("slice")))
     )
     return others.unionByName(winners)
 
@@ -109,57 +108,70 @@ def build_threads(
     with_comments = comments is not None
     if with_comments:
         posts = first_posts(posts)
-    rank = post_order(posts) if order is None else order
-    row = F.xxhash64("id") if with_comments else spread(posts)
+    if order is None:
+        # one post per id leaves one question per id, with nothing to choose from
+        unique = with_comments and key is None
+        order = F.lit(0) if unique else post_order(posts)
     nested = "comments" in posts.columns and not with_comments
     own_list = or_empty("comments", COMMENT_LIST) if nested else empty_array(COMMENT_LIST)
     members = with_thread_key(
-        posts.withColumns(
-            {"_order": F.when(is_question(), rank), "_spread": row, "comments": own_list}
-        ),
-        key,
+        posts.withColumns({"_order": F.when(is_question(), order), "comments": own_list}), key
     )
 
-    # Weigh posts and threads by their key columns alone.
-    slices = None
-    weighed = members
-    n_comments = F.size("comments")
+    # Weigh posts and threads by their key columns alone; comments without a post count as well.
+    weighed, n_comments = members, F.size("comments")
     if with_comments:
         counts = comments_per_post(comments)
-        slices = measure(counts, "post_id", "n_comments", max_group)
-        weighed = members.join(counts, members["id"] == counts["post_id"], "left")
+        weighed = members.join(counts, members["id"] == counts["post_id"], "full")
         n_comments = F.coalesce("n_comments", F.lit(0))
     totals = weighed.groupBy("thread_key").agg(
-        F.sum(is_answer().cast("int") + n_comments).alias("weight"),
+        F.sum(F.coalesce(is_answer(), F.lit(False)).cast("int") + n_comments).alias("weight"),
+        F.count("*").alias("n_posts"),
         F.count_if(is_answer()).cast("int").alias("n_answers"),
+        F.max(n_comments).alias("n_comments"),
     )
-    threads = measure(totals, "thread_key", "weight", max_group, carry="n_answers")
+    in_thread = F.col("thread_key").isNotNull()
+    heaviest = totals.agg(
+        F.max(F.when(in_thread, F.greatest("weight", "n_posts"))).alias("thread"),
+        F.max("n_comments").alias("post"),
+    ).first()
+    threads = slices = None
+    if (heaviest["thread"] or 0) > max_group:
+        threads = measure(
+            totals, "thread_key", "weight", max_group, rows="n_posts", carry="n_answers"
+        )
+        by_id = members.withColumn(ROW_ID, F.xxhash64("id"))
+        members = by_id if with_comments else numbered(members)
+    if with_comments and (heaviest["post"] or 0) > max_group:
+        slices = measure(counts, "post_id", "n_comments", max_group)
 
     rows = _rows_per_part(members, threads, slices)
+    split = [] if threads is None else ["n_answers"]
     post = F.struct("id", "slice", post_struct(F.col("comments")).alias("post"))
     parts = rows.select(
         "thread_key",
         "part",
-        "n_answers",
+        *split,
         "_order",
         F.when(is_question(), post).alias("q"),
         F.when(is_answer(), post).alias("a"),
     )
-    aggregates = [
-        F.max("n_answers").alias("total"),
+    aggregates = [F.max(c).alias("total") for c in split] + [
         F.max_by("q", "_order").alias("q"),
         ordered_list(F.col("a"), F.col("a.post.creation_date"), F.col("a.id")).alias("a"),
     ]
     if with_comments:
         lists = comment_lists(comments, slices).withColumnRenamed("slice", "_slice")
         homes = rows.select("thread_key", "part", "id", "slice")
-        at_home = (homes["id"] == lists["post_id"]) & (homes["slice"] == lists["_slice"])
+        at_home = homes["id"] == lists["post_id"]
+        if slices is not None:
+            at_home = at_home & (homes["slice"] == lists["_slice"])
         entry = F.struct(F.struct("id", "slice"), "comments").alias("entry")
         located = homes.join(lists, at_home).select("thread_key", "part", entry)
         parts = parts.unionByName(located, allowMissingColumns=True)
         aggregates.append(F.map_from_entries(F.collect_list("entry")).alias("lists"))
 
-    grouped = parts.groupBy("thread_key", "part").agg(*aggregates)
+    grouped = group_divided((parts, ["thread_key", *(["part"] if split else [])]), "part", *aggregates)
     if not keep_questionless:
         grouped = grouped.where(F.col("q").isNotNull())
 
@@ -171,10 +183,11 @@ def build_threads(
         scalars = [member["post"][c].alias(c) for c in POST_SCALARS]
         return F.struct(*scalars, or_empty(own, COMMENT_LIST).alias("comments"))
 
+    n_answers = F.coalesce("total", F.size("a")) if split else F.size("a")
     return grouped.select(
         "thread_key",
         "part",
-        F.coalesce("total", F.size("a")).alias("n_answers"),
+        n_answers.alias("n_answers"),
         F.when(F.col("q").isNotNull(), whole(F.col("q"))).alias("question"),
         (map_array("a", whole) if with_comments else F.col("a.post")).alias("answers"),
     )

@@ -64,8 +64,8 @@ POST_COLUMNS = tuple(POST_SCHEMA.names)
 POST_SCALARS = tuple(name for name, _, _ in POST_FIELDS)
 COMMENT_COLUMNS = tuple(COMMENT_SCHEMA.names)
 
-# Column added by the table readers: a stable number for each stored row, used to spread the
-# rows of one very large group (exact copies too) over several tasks.
+# Optional column: a stable number for each stored row, used to spread the rows of one very large
+# group (exact copies too) over several tasks.
 ROW_ID = "_row_id"
 
 

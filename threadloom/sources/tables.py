@@ -9,15 +9,10 @@ from threadloom.schemas import ROW_ID, entity
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
-    """Number the stored rows of a Parquet scan by file and position.
-
-    The number depends only on the stored data, so a retried task repeats it, and exact copies of
-    a row get different ones. Plans that do not use it never compute it.
-    """
+    """Number the stored rows of a Parquet scan by file and position."""
     return df.withColumn(ROW_ID, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Read table ``name`` below ``base``; posts and comments carry a row number."""
-    df = spark.read.schema(entity(name).schema).parquet(f"{base.rstrip('/')}/{name}")
-    return df if name == "thread" else with_row_id(df)
+    """Read table ``name`` below ``base``."""
+    return spark.read.schema(entity(name).schema).parquet(f"{base.rstrip('/')}/{name}")
