@@ -1,0 +1,89 @@
+import datetime as dt
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from threadloom.functions import format_iso, parse_iso, string_hash, to_bigint, to_int
+from threadloom.functions.hashing import hash_batch
+from threadloom.operators.routing import sample_lines
+
+
+def plain_hash(text):
+    if text is None:
+        return None
+    units = text.encode("utf-16-le")
+    h = 0
+    for i in range(0, len(units), 2):
+        h = (31 * h + int.from_bytes(units[i : i + 2], "little")) & 0xFFFFFFFF
+    return h - 2**32 if h >= 2**31 else h
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"])))))
+def test_hash_batch(texts):
+    assert hash_batch(pa.array(texts, pa.string())).to_pylist() == [plain_hash(t) for t in texts]
+    sliced = pa.array(["ü", "x", *texts], pa.string()).slice(2)
+    assert hash_batch(sliced).to_pylist() == [plain_hash(t) for t in texts]
+
+
+def test_hash_in_spark_and_sampling(spark):
+    texts = ["", "a", "polygenelubricants", "né", "😀 emoji", None] + [f"line {i}" for i in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = df.select("value", string_hash("value").alias("h")).collect()
+    assert {r["value"]: r["h"] for r in rows} == {t: plain_hash(t) for t in texts}
+    kept = [r["value"] for r in sample_lines(df, 10).collect()]
+    assert sorted(kept) == sorted(t for t in texts if t is not None and plain_hash(t) % 10 == 0)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("2009-03-26T18:04:36.063", dt.datetime(2009, 3, 26, 18, 4, 36, 63000)),
+        ("2009-03-26T18:04:36.063Z", dt.datetime(2009, 3, 26, 18, 4, 36, 63000)),
+        ("2009-03-26T18:04:36", dt.datetime(2009, 3, 26, 18, 4, 36)),
+        ("2009-03-26T18:04", dt.datetime(2009, 3, 26, 18, 4)),
+        ("2009-03-26T18:04Z", dt.datetime(2009, 3, 26, 18, 4)),
+        ("2009-03-26T18:04:36+02:00", None),
+        ("2009-03-26 18:04:36", None),
+        ("2009-03-26", None),
+        ("2009-02-30T18:04:36", None),
+        ("2009-03-26T25:04:36", None),
+        ("2009-03-26T18:04:36ZZ", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_parse_iso(spark, text, want):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(parse_iso("v")).first()[0] == want
+    if want is None and text is not None:
+        with pytest.raises(PySparkException, match="not an ISO date-time"):
+            df.select(parse_iso("v", strict=True)).collect()
+    else:
+        assert df.select(parse_iso("v", strict=True)).first()[0] == want
+
+
+def test_format_iso(spark):
+    cases = {
+        dt.datetime(2009, 3, 26, 18, 4, 36, 63000): "2009-03-26T18:04:36.063",
+        dt.datetime(2009, 3, 26, 18, 4, 36, 440000): "2009-03-26T18:04:36.44",
+        dt.datetime(2009, 3, 26, 18, 4, 0, 1): "2009-03-26T18:04:00.000001",
+        dt.datetime(2009, 3, 26, 18, 0, 0): "2009-03-26T18:00:00",
+        None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t timestamp_ntz")
+    assert {r[0]: r[1] for r in df.select("t", format_iso("t")).collect()} == cases
+
+
+def test_integers(spark):
+    texts = {"7": 7, "-7": -7, "+7": 7, "": None, "x": None, "1.5": None, None: None}
+    df = spark.createDataFrame([(t,) for t in [*texts, "3000000000"]], "v string")
+    rows = {r[0]: (r[1], r[2]) for r in df.select("v", to_int("v"), to_bigint("v")).collect()}
+    assert rows.pop("3000000000") == (None, 3000000000)
+    assert rows == {t: (n, n) for t, n in texts.items()}
+    with pytest.raises(PySparkException, match="not a valid int"):
+        df.select(to_int(F.col("v"), strict=True)).collect()

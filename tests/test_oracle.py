@@ -1,0 +1,45 @@
+"""Every registered query against its SQL in DuckDB, on the smallest generated tables."""
+
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+
+DATA = Path(os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001"))
+
+
+@pytest.fixture(scope="module")
+def database():
+    con = duckdb.connect()
+    for path in DATA.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+def ordered(rows, columns):
+    by_name = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted(tuple(repr(row[i]) for i in by_name) for row in rows)
+
+
+def test_every_query_has_a_check():
+    assert registry.queries().keys() == registry.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", registry.queries())
+def test_query(spark, database, name):
+    df = registry.queries()[name](spark, str(DATA))
+    result = database.execute(registry.oracle_sql()[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    want = ordered(result.fetchall(), columns)
+    assert want, "the check must not be empty"
+    assert ordered(map(tuple, df.collect()), df.columns) == want
+
+
+def test_entry(spark):
+    df = registry.entry(spark)
+    assert df.columns == ["question_id", "answer_id", "answer_score", "comment_id", "comment_text"]
+    assert df.count() == 4049

@@ -1,0 +1,81 @@
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tests.archive import comment, comments_frame, post, posts_frame
+from threadloom.operators.rows import comment_row, post_row, thread_row
+from threadloom.operators.threads import build_threads
+from threadloom.schemas import (
+    COMMENT_SCHEMA,
+    POST_SCHEMA,
+    THREAD_SCHEMA,
+    entity,
+)
+from threadloom.sinks import conform, export_json, missing_required, write_table
+from threadloom.sources import read_table
+
+
+def test_entities():
+    assert entity("post").schema is POST_SCHEMA and len(POST_SCHEMA) == 23
+    assert entity("comment").schema is COMMENT_SCHEMA and len(COMMENT_SCHEMA) == 7
+    assert THREAD_SCHEMA.names == ["question", "answers"]
+    assert entity("thread").required == ["question"]
+    assert THREAD_SCHEMA["answers"].dataType.elementType == POST_SCHEMA
+    with pytest.raises(ValueError, match="unsupported entity"):
+        entity("user")
+
+
+def test_rows_have_the_table_columns(spark):
+    posts = posts_frame(spark, [post("q", "1")])
+    assert post_row(posts.drop("comments")).schema.names == POST_SCHEMA.names
+    wide = post_row(posts.withColumn("more", F.lit(1)))
+    assert wide.schema.simpleString() == POST_SCHEMA.simpleString()
+    comments = comments_frame(spark, [comment("c", "q")])
+    wide = comment_row(comments.withColumn("more", F.lit(1)))
+    assert wide.schema.simpleString() == COMMENT_SCHEMA.simpleString()
+    threads = thread_row(build_threads(posts, comments))
+    assert conform(threads, "thread").schema.simpleString() == THREAD_SCHEMA.simpleString()
+
+
+def test_write_replaces(spark, tmp_path):
+    base = str(tmp_path)
+    two = posts_frame(spark, [post("q", "1"), post("a", "2", "q")])
+    write_table(two, "post", base)
+    write_table(two, "post", base)
+    assert read_table(spark, base, "post").count() == 2
+    write_table(two.where("id = 'q'"), "post", base)
+    assert [r["id"] for r in read_table(spark, base, "post").collect()] == ["q"]
+
+
+def test_catalog_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS archive")
+    comments = comments_frame(spark, [comment("c", "q")])
+    for _ in range(2):
+        write_table(comments, "comment", database="archive")
+    assert spark.table("archive.comment").count() == 1
+    assert spark.table("archive.comment").schema.names == COMMENT_SCHEMA.names
+    with pytest.raises(ValueError):
+        write_table(comments, "comment")
+
+
+def test_required(spark, tmp_path):
+    posts = posts_frame(spark, [post("q", "1"), post("a", "2", "nowhere")])
+    groups = build_threads(posts, keep_questionless=True)
+    assert [r["thread_key"] for r in missing_required(groups, "thread").collect()] == ["nowhere"]
+    with pytest.raises(PySparkException, match="thread.question is required"):
+        write_table(groups, "thread", str(tmp_path))
+    write_table(build_threads(posts), "thread", str(tmp_path))
+    assert read_table(spark, str(tmp_path), "thread").count() == 1
+
+
+def test_json_export(spark, tmp_path):
+    posts = posts_frame(spark, [post("q", "1"), post("a", "2", "q", day=1)])
+    export_json(build_threads(posts, comments_frame(spark, [comment("c", "a")])), "thread", str(tmp_path / "j"))
+    (line,) = [x for f in (tmp_path / "j").glob("*.json") for x in f.read_text().splitlines()]
+    thread = json.loads(line)
+    assert list(thread["question"]) == POST_SCHEMA.names
+    assert thread["question"]["parent_id"] is None
+    assert thread["answers"][0]["creation_date"] == "2020-01-02T00:00:00"
+    assert thread["answers"][0]["comments"][0]["creation_date"] == "2020-01-01T00:00:00"
