@@ -64,6 +64,17 @@ def test_parts_stay_near_the_limit(spark, tmp_path):
     assert threads.select("n_answers").distinct().collect() == [(2000,)]
 
 
+def test_copies_in_a_table_without_files_are_spread(spark):
+    posts = posts_frame(spark, [post("q", "1")])
+    same = comments_frame(spark, [comment("same", "q") for _ in range(1000)])
+    sizes = nest_comments(posts, same.union(same), max_group=100).select(F.size("comments"))
+    sizes = [r[0] for r in sizes.collect()]
+    assert sum(sizes) == 2000 and len(sizes) == 20 and max(sizes) < 200
+    answers = posts_frame(spark, [post("q", "1")] + [post("a", "2", "q")] * 1000)
+    sizes = build_threads(answers, max_group=100).select(F.size("answers")).collect()
+    assert sum(r[0] for r in sizes) == 1000 and max(r[0] for r in sizes) < 200
+
+
 @pytest.mark.parametrize("max_group", [2, 10_000])
 def test_without_comments_every_copy_counts(spark, tmp_path, max_group):
     posts = [

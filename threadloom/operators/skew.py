@@ -10,18 +10,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.schemas import ROW_ID
+from threadloom.session import scratch_dir
 from threadloom.sources import with_row_id
 
 # Rows one nested list may hold. A part also stays far below Spark's 2 GB row limit.
 MAX_GROUP = 10_000
 
-# Key tables of up to this many rows are broadcast; larger ones are joined through a shuffle.
+# Key tables within both bounds are broadcast; larger ones are joined through a shuffle.
 MAX_BROADCAST_KEYS = 100_000
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -31,10 +32,28 @@ class Splits:
     table: DataFrame
 
 
-def bounded(keys: DataFrame) -> tuple[DataFrame, int]:
-    """Count a key table and mark it for broadcast when it is small enough."""
-    n = keys.count()
-    return (F.broadcast(keys) if n <= MAX_BROADCAST_KEYS else keys), n
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it from there, so that plans using it do not
+    compute it again."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded(keys: DataFrame, *, rare: bool = True) -> tuple[DataFrame, int]:
+    """Count a key table; store it if it has rows, and mark it for broadcast if it is small.
+
+    A ``rare`` table is usually empty, so that is checked before it is stored. The key is the
+    first column; any others are plain numbers.
+    """
+    if rare and keys.count() == 0:
+        return keys, 0
+    stored = store(keys, "keys")
+    key_bytes = F.sum(F.octet_length(F.col(keys.columns[0]).cast("string")))
+    n, nbytes = stored.agg(F.count("*"), key_bytes).first()
+    small = n <= MAX_BROADCAST_KEYS and (nbytes or 0) <= MAX_BROADCAST_BYTES
+    return (F.broadcast(stored) if small else stored), n
 
 
 def measure(
@@ -55,9 +74,8 @@ def measure(
     parts = F.ceil(F.greatest(F.col(weight), F.lit(1)) / max_group).cast("int").alias("parts")
     size = F.greatest(weight, rows) if rows else F.col(weight)
     heavy = weights.where(F.col(key).isNotNull() & (size > max_group))
-    table, n = bounded(
-        heavy.select(F.col(key).alias("split_key"), parts, *([carry] if carry else []))
-    )
+    heavy = heavy.select(F.col(key).alias("split_key"), parts, *([carry] if carry else []))
+    table, n = bounded(heavy)
     return Splits(table) if n else None
 
 
@@ -76,19 +94,24 @@ def with_parts(df: DataFrame, key: str, splits: Splits | None, name: str) -> Dat
     return joined.withColumn(name, F.coalesce(name, F.lit(1)))
 
 
+def _has_positions(df: DataFrame) -> bool:
+    """Whether the table is a plain Parquet scan, whose rows have a place in a file."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    kinds = [hidden.apply(i).dataType().simpleString() for i in range(hidden.size())]
+    return len(kinds) == 1 and "row_index" in kinds[0]
+
+
 def numbered(df: DataFrame) -> DataFrame:
-    """Add what tells the rows of one group apart.
+    """Add what tells the rows of one group apart: each row's place in its Parquet file.
 
-    For a Parquet scan that is the row's place in its file: it depends on the stored data alone,
-    so a retried task repeats it, and exact copies of a row differ. Other tables get a hash of
-    the whole row, which leaves exact copies together.
+    That depends on stored data alone, so a retried task repeats it, and exact copies of a row
+    differ. A table that is not a plain Parquet scan is first stored in the shared folder.
     """
     if ROW_ID in df.columns:
         return df
-    try:
+    if _has_positions(df):
         return with_row_id(df)
-    except AnalysisException:
-        return df.withColumn(ROW_ID, F.xxhash64(*df.columns))
+    return with_row_id(store(df, "numbered"))
 
 
 def part_of(parts: Column, *row: Column) -> Column:
@@ -127,5 +150,5 @@ def keep_keys(df: DataFrame, key: str, keys: DataFrame, how: str = "left_semi")
     they are; otherwise both sides are shuffled and adaptive execution splits a hot key's rows.
     """
     name = keys.columns[0]
-    table, _ = bounded(keys.withColumnRenamed(name, "_keep_key"))
+    table, _ = bounded(keys.withColumnRenamed(name, "_keep_key"), rare=False)
     return df.join(table, df[key] == table["_keep_key"], how)

@@ -28,6 +28,7 @@ from threadloom.operators.skew import (
     measure,
     numbered,
     part_of,
+    store,
     with_parts,
 )
 from threadloom.schemas import COMMENT_LIST, POST_SCALARS, ROW_ID
@@ -47,14 +48,10 @@ def orphan_answers(posts: DataFrame) -> DataFrame:
     return keep_keys(answers, "parent_id", missing_question_keys(posts))
 
 
-def last_questions(posts: DataFrame, key: Column | None = None, order: Column | None = None):
-    """One question per thread key, the last by ``order``."""
-    questions = with_thread_key(posts, key).where(is_question())
-    rank = post_order(posts) if order is None else order
-    last = questions.groupBy("thread_key").agg(
-        F.max_by(F.struct(*questions.columns), rank).alias("_last")
-    )
-    return last.select("_last.*")
+def _last_per_thread(questions: DataFrame) -> DataFrame:
+    """One question per thread key, the last by ``_order``."""
+    last = F.max_by(F.struct(*questions.columns), F.col("_order")).alias("_last")
+    return questions.groupBy("thread_key").agg(last).select("_last.*")
 
 
 def _rows_per_part(members: DataFrame, threads: Splits | None, slices: Splits | None) -> DataFrame:
@@ -70,11 +67,8 @@ def _rows_per_part(members: DataFrame, threads: Splits | None, slices: Splits |
     sized = with_parts(members, "thread_key", threads, "_parts")
     sized = with_parts(sized, "id", slices, "_slices")
     wide_question = is_question() & F.col("n_answers").isNotNull()
-    wide = sized.where(wide_question)
     winners = (
-        wide.groupBy("thread_key")
-        .agg(F.max_by(F.struct(*wide.columns), F.col("_order")).alias("_last"))
-        .select("_last.*")
+        _last_per_thread(sized.where(wide_question))
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
         .withColumn("slice", F.col("part"))
     )
@@ -130,20 +124,18 @@ def build_threads(
         F.count_if(is_answer()).cast("int").alias("n_answers"),
         F.max(n_comments).alias("n_comments"),
     )
-    in_thread = F.col("thread_key").isNotNull()
-    heaviest = totals.agg(
-        F.max(F.when(in_thread, F.greatest("weight", "n_posts"))).alias("thread"),
-        F.max("n_comments").alias("post"),
-    ).first()
+    sizes = F.greatest("weight", "n_posts", "n_comments")
     threads = slices = None
-    if (heaviest["thread"] or 0) > max_group:
+    if (totals.agg(F.max(sizes)).first()[0] or 0) > max_group:
+        heavy = store(totals.where(sizes > max_group), "heavy-threads")
         threads = measure(
-            totals, "thread_key", "weight", max_group, rows="n_posts", carry="n_answers"
+            heavy, "thread_key", "weight", max_group, rows="n_posts", carry="n_answers"
         )
+        if with_comments:
+            slices = measure(counts, "post_id", "n_comments", max_group)
+    if threads is not None:
         by_id = members.withColumn(ROW_ID, F.xxhash64("id"))
         members = by_id if with_comments else numbered(members)
-    if with_comments and (heaviest["post"] or 0) > max_group:
-        slices = measure(counts, "post_id", "n_comments", max_group)
 
     rows = _rows_per_part(members, threads, slices)
     split = [] if threads is None else ["n_answers"]
@@ -194,8 +186,8 @@ def build_threads(
 
 
 def flatten_threads(threads: DataFrame) -> DataFrame:
-    """One row per answer, with the question and the answer as structs; a thread without answers
-    has one row with a null answer."""
+    """One row per listed answer, with the question and the answer as structs; a thread without
+    answers has one row with a null answer."""
     flat = threads.select(
         "thread_key", "part", "n_answers", "question", F.explode_outer("answers").alias("answer")
     )
