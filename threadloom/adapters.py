@@ -1,7 +1,9 @@
 """Question-and-answer archives derived from the generic test tables.
 
 ``star``: customers ask, orders answer them, suppliers are posts of another type and line items
-are comments on the orders. ``conversation``: a conversation is a thread whose user turns are
+are comments on the orders. Some customers are of another type and some orders go by another
+name, on both ends, so that answers and comments without their post occur, and threads without
+answers. ``conversation``: a conversation is a thread whose user turns are
 questions, so most threads have several. Stacked posts keep the row numbers of their files.
 """
 
@@ -33,12 +35,21 @@ def _prefixed(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-def order_posts(orders: DataFrame, prefix: str = "o") -> DataFrame:
-    return _as_posts(
-        orders,
-        id=_prefixed(prefix, "o_orderkey"),
+def star_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    questions = _as_posts(
+        source_table(spark, sf_dir, "customer"),
+        id=_prefixed("c", "c_custkey"),
+        pos_type_id=F.when(F.col("c_custkey") % 7 == 0, "4").otherwise("1"),
+        title=F.col("c_name"),
+        tags=F.concat(F.lit("<"), F.col("c_mktsegment"), F.lit(">")),
+        view_count=F.col("c_nationkey"),
+    )
+    renamed = F.col("o_custkey") % 5 == 0
+    answers = _as_posts(
+        source_table(spark, sf_dir, "orders"),
+        id=F.when(renamed, _prefixed("x", "o_orderkey")).otherwise(_prefixed("o", "o_orderkey")),
         pos_type_id=F.lit("2"),
-        parent_id=_prefixed("c", "o_custkey"),
+        parent_id=F.when(renamed, _prefixed("n", "o_custkey")).otherwise(_prefixed("c", "o_custkey")),
         creation_date=F.col("o_orderdate"),
         score=F.floor(F.col("o_totalprice") / 1000),
         title=F.col("o_orderpriority"),
@@ -46,19 +57,6 @@ def order_posts(orders: DataFrame, prefix: str = "o") -> DataFrame:
         owner_user_id=F.col("o_custkey"),
         last_editor_user_id=F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")),
     )
-
-
-def star_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = source_table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0")
-    questions = _as_posts(
-        customers,
-        id=_prefixed("c", "c_custkey"),
-        pos_type_id=F.lit("1"),
-        title=F.col("c_name"),
-        tags=F.concat(F.lit("<"), F.col("c_mktsegment"), F.lit(">")),
-        view_count=F.col("c_nationkey"),
-    )
-    answers = order_posts(source_table(spark, sf_dir, "orders").where("o_custkey % 5 <> 0"))
     other = _as_posts(
         source_table(spark, sf_dir, "supplier"),
         id=_prefixed("s", "s_suppkey"),
@@ -69,15 +67,16 @@ def star_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_posts_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The star posts, plus a second post for every eleventh order's id, a day later."""
-    orders = source_table(spark, sf_dir, "orders").where("o_custkey % 5 <> 0 and o_orderkey % 11 = 0")
-    again = order_posts(orders).withColumns(
+    """The star posts, with a second post for every answer's id, a day later."""
+    posts = star_posts(spark, sf_dir)
+    again = posts.where("pos_type_id = '2'").withColumns(
         {
             "title": F.concat("title", F.lit(" again")),
             "creation_date": F.col("creation_date") + F.expr("interval 1 day"),
+            ROW_ID: F.xxhash64(ROW_ID, F.lit("again")),
         }
     )
-    return star_posts(spark, sf_dir).unionByName(again)
+    return posts.unionByName(again)
 
 
 def star_comments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,10 @@ def hash_batch(strings: pa.Array) -> pa.Array:
     return pa.array(hashes.view(np.int32), mask=np.asarray(strings.is_null()))
 
 
-@F.arrow_udf(IntegerType())
-def string_hash(strings: pa.Array) -> pa.Array:
+def string_hash(value):
     """The signed 32-bit hash of a string column."""
-    return hash_batch(strings)
+
+    def hash_strings(strings: pa.Array) -> pa.Array:
+        return hash_batch(strings)
+
+    return F.arrow_udf(hash_strings, IntegerType())(value)
