@@ -216,6 +216,17 @@ def test_first_posts_and_orphans(spark):
     )
 
 
+@pytest.mark.parametrize("max_group", [3, 10_000])
+def test_large_groups_without_a_question(spark, max_group):
+    posts = [post("q", "1"), post("a", "2", "q")] + [post(f"o{i}", "2", "gone") for i in range(30)]
+    p = posts_frame(spark, posts)
+    (thread,) = build_threads(p, max_group=max_group).collect()
+    assert (thread["thread_key"], thread["n_answers"]) == ("q", 1)
+    groups = build_threads(p, keep_questionless=True, max_group=max_group)
+    gone = groups.where("question IS NULL").select(F.explode("answers.id")).collect()
+    assert sorted(r[0] for r in gone) == sorted(f"o{i}" for i in range(30))
+
+
 def test_large_key_tables_are_not_broadcast(spark, monkeypatch):
     from threadloom.operators import skew
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.operators.skew import bounded
+from threadloom.operators.skew import bounded, store
 from threadloom.schemas import ROW_ID
 
 
@@ -21,20 +21,29 @@ def repeated_ids(posts: DataFrame, key: str = "id") -> DataFrame:
     return counts.where("n_posts > 1")
 
 
-def first_posts(posts: DataFrame, order: Column | None = None) -> DataFrame:
+def first_posts(posts: DataFrame, order: Column | None = None, *, keep: bool = False) -> DataFrame:
     """One post per id, the first by ``order``; posts without an id are left out.
 
     Ids are counted first, from their column alone. Without repeats, the usual case, the posts
-    pass through unshuffled. Otherwise only the repeated ones are reduced, by an aggregation that
-    keeps one row per id and task before its shuffle.
+    pass through unshuffled. A few repeated ids are broadcast, so that only their posts are
+    shuffled; beyond that all posts are reduced in one shuffle. The reduction keeps one row per id
+    and task before it shuffles. With ``keep``, a reduced result is stored for repeated use.
     """
     present = posts.where(F.col("id").isNotNull())
-    repeated, n = bounded(repeated_ids(posts).select(F.col("id").alias("_repeated")))
-    if n == 0:
+    repeated = bounded(repeated_ids(posts).select(F.col("id").alias("_repeated")))
+    if repeated.n == 0:
         return present
-    match = present["id"] == repeated["_repeated"]
-    once = present.join(repeated, match, "left_anti")
-    copies = present.join(repeated, match, "left_semi")
     rank = post_order(posts) if order is None else order
-    first = copies.groupBy("id").agg(F.min_by(F.struct(*posts.columns), rank).alias("_first"))
-    return once.unionByName(first.select("_first.*"))
+    first = F.min_by(F.struct(*posts.columns), rank).alias("_first")
+
+    def reduce_copies(df: DataFrame) -> DataFrame:
+        return df.groupBy("id").agg(first).select("_first.*")
+
+    if repeated.small:
+        match = present["id"] == repeated.table["_repeated"]
+        copies = present.join(repeated.table, match, "left_semi")
+        once = present.join(repeated.table, match, "left_anti")
+        result = once.unionByName(reduce_copies(copies))
+    else:
+        result = reduce_copies(present)
+    return store(result, "first-posts") if keep else result

@@ -27,7 +27,7 @@ MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 
 @dataclass(frozen=True)
 class Splits:
-    """The keys to split: ``table`` has ``split_key``, ``parts`` and the carried column."""
+    """The keys to split: ``table`` has ``split_key``, ``parts`` and the carried columns."""
 
     table: DataFrame
 
@@ -41,19 +41,28 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded(keys: DataFrame, *, rare: bool = True) -> tuple[DataFrame, int]:
+@dataclass(frozen=True)
+class KeyTable:
+    """A counted key table. ``table`` is marked for broadcast when it is ``small``."""
+
+    table: DataFrame
+    n: int
+    small: bool
+
+
+def bounded(keys: DataFrame, *, rare: bool = True) -> KeyTable:
     """Count a key table; store it if it has rows, and mark it for broadcast if it is small.
 
     A ``rare`` table is usually empty, so that is checked before it is stored. The key is the
     first column; any others are plain numbers.
     """
     if rare and keys.count() == 0:
-        return keys, 0
+        return KeyTable(keys, 0, True)
     stored = store(keys, "keys")
     key_bytes = F.sum(F.octet_length(F.col(keys.columns[0]).cast("string")))
     n, nbytes = stored.agg(F.count("*"), key_bytes).first()
     small = n <= MAX_BROADCAST_KEYS and (nbytes or 0) <= MAX_BROADCAST_BYTES
-    return (F.broadcast(stored) if small else stored), n
+    return KeyTable(F.broadcast(stored) if small else stored, n, small)
 
 
 def measure(
@@ -63,20 +72,19 @@ def measure(
     max_group: int = MAX_GROUP,
     *,
     rows: str | None = None,
-    carry: str | None = None,
+    carry: tuple[str, ...] = (),
 ) -> Splits | None:
     """Find the keys whose weight is above the limit; None when there are none.
 
     ``weights`` has one row per key. A key with more than the limit of ``rows`` is in the table
-    too, but only the weight decides the number of parts. ``carry`` names a further column to
+    too, but only the weight decides the number of parts. ``carry`` names further columns to
     keep with each key.
     """
     parts = F.ceil(F.greatest(F.col(weight), F.lit(1)) / max_group).cast("int").alias("parts")
     size = F.greatest(weight, rows) if rows else F.col(weight)
     heavy = weights.where(F.col(key).isNotNull() & (size > max_group))
-    heavy = heavy.select(F.col(key).alias("split_key"), parts, *([carry] if carry else []))
-    table, n = bounded(heavy)
-    return Splits(table) if n else None
+    found = bounded(heavy.select(F.col(key).alias("split_key"), parts, *carry))
+    return Splits(found.table) if found.n else None
 
 
 def measure_groups(df: DataFrame, key: str, max_group: int = MAX_GROUP) -> Splits | None:
@@ -86,7 +94,7 @@ def measure_groups(df: DataFrame, key: str, max_group: int = MAX_GROUP) -> Split
 
 def with_parts(df: DataFrame, key: str, splits: Splits | None, name: str) -> DataFrame:
     """Add the number of parts of each row's group, 1 for groups that are not split, and the
-    carried column, null for those."""
+    carried columns, null for those."""
     if splits is None:
         return df.withColumn(name, F.lit(1))
     table = splits.table.withColumnRenamed("parts", name)
@@ -150,5 +158,5 @@ def keep_keys(df: DataFrame, key: str, keys: DataFrame, how: str = "left_semi")
     they are; otherwise both sides are shuffled and adaptive execution splits a hot key's rows.
     """
     name = keys.columns[0]
-    table, _ = bounded(keys.withColumnRenamed(name, "_keep_key"), rare=False)
+    table = bounded(keys.withColumnRenamed(name, "_keep_key"), rare=False).table
     return df.join(table, df[key] == table["_keep_key"], how)

@@ -64,8 +64,7 @@ def _rows_per_part(members: DataFrame, threads: Splits | None, slices: Splits |
     if threads is None:
         return members.withColumns({"part": F.lit(0), "slice": F.lit(0)})
 
-    sized = with_parts(members, "thread_key", threads, "_parts")
-    sized = with_parts(sized, "id", slices, "_slices")
+    sized = with_parts(members, "id", slices, "_slices")
     wide_question = is_question() & F.col("n_answers").isNotNull()
     winners = (
         _last_per_thread(sized.where(wide_question))
@@ -101,7 +100,7 @@ def build_threads(
     """
     with_comments = comments is not None
     if with_comments:
-        posts = first_posts(posts)
+        posts = first_posts(posts, keep=True)
     if order is None:
         # one post per id leaves one question per id, with nothing to choose from
         unique = with_comments and key is None
@@ -121,21 +120,26 @@ def build_threads(
     totals = weighed.groupBy("thread_key").agg(
         F.sum(F.coalesce(is_answer(), F.lit(False)).cast("int") + n_comments).alias("weight"),
         F.count("*").alias("n_posts"),
+        F.count_if(is_question()).alias("n_questions"),
         F.count_if(is_answer()).cast("int").alias("n_answers"),
         F.max(n_comments).alias("n_comments"),
     )
-    sizes = F.greatest("weight", "n_posts", "n_comments")
+    in_thread = F.when(F.col("thread_key").isNotNull(), F.greatest("weight", "n_posts"))
+    sizes = F.greatest(in_thread, "n_comments")
     threads = slices = None
     if (totals.agg(F.max(sizes)).first()[0] or 0) > max_group:
         heavy = store(totals.where(sizes > max_group), "heavy-threads")
-        threads = measure(
-            heavy, "thread_key", "weight", max_group, rows="n_posts", carry="n_answers"
-        )
+        carry = ("n_answers", "n_questions")
+        threads = measure(heavy, "thread_key", "weight", max_group, rows="n_posts", carry=carry)
         if with_comments:
             slices = measure(counts, "post_id", "n_comments", max_group)
     if threads is not None:
         by_id = members.withColumn(ROW_ID, F.xxhash64("id"))
         members = by_id if with_comments else numbered(members)
+        members = with_parts(members, "thread_key", threads, "_parts")
+        if not keep_questionless:
+            # a large group that will be dropped need not be shuffled
+            members = members.where(F.coalesce(F.col("n_questions") > 0, F.lit(True)))
 
     rows = _rows_per_part(members, threads, slices)
     split = [] if threads is None else ["n_answers"]

@@ -63,8 +63,9 @@ POSTS_SELECT = """
   UNION ALL
   SELECT CASE WHEN o_custkey % 5 = 0 THEN 'x' ELSE 'o' END || o_orderkey, '2',
     CASE WHEN o_custkey % 5 = 0 THEN 'n' ELSE 'c' END || o_custkey, o_orderdate,
-    CAST(floor(o_totalprice / 1000) AS INTEGER), NULL, '<p>' || o_orderstatus || '</p>' || chr(10), CAST(o_custkey AS VARCHAR),
-    CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END, o_orderpriority, NULL
+    CAST(floor(o_totalprice / 1000) AS INTEGER), NULL, '<p>' || o_orderstatus || '</p>' || chr(10),
+    CAST(o_custkey AS VARCHAR), CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END,
+    o_orderpriority, NULL
   FROM orders
   UNION ALL
   SELECT 's' || s_suppkey, '5', NULL, NULL, NULL, NULL, NULL, NULL, NULL, s_name, NULL
