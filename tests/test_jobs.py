@@ -19,6 +19,7 @@ from threadloom.plans import (
     threads_with_comments,
     threads_without_comments,
 )
+from threadloom.plans.catalog import _stored_flat
 from threadloom.session import scratch_dir, sized_shuffle, stored_bytes
 from threadloom.sources import read_table
 
@@ -85,6 +86,23 @@ def test_threads_with_comments(spark, dumps):
     assert read_table(spark, base, "comment").count() == 5
 
 
+@pytest.mark.parametrize("max_group", [1, 10_000])
+def test_stored_threads_flatten_whether_split_or_not(spark, dumps, max_group):
+    posts, comments, base = dumps
+    threads_with_comments(
+        spark, posts, comments, base, count_quality=False, max_group=max_group
+    )
+    split = read_table(spark, base, "thread").count() > 6
+    assert split == (max_group == 1)
+    flat = _stored_flat(spark, base)
+    pairs = flat.select("question.id", F.col("answer.id").alias("a")).distinct().collect()
+    assert sorted(pairs, key=str) == sorted(
+        [("0", None), ("1", None), ("2", "20"), ("3", None), ("4", "21"), ("5", None)], key=str
+    )
+    comments_seen = flat.select(F.explode("answer.comments.id")).collect()
+    assert sorted(r[0] for r in comments_seen) == ["c0", "c1"]
+
+
 def test_load_reports_and_rejects(spark, tmp_path):
     rows = [post("1", "1"), post("2", None), post("3", "5"), post("4", "2"), post(None, "1")]
     bad = ['<row Id="5" PostTypeId="1" Score="x"/>', '<row Id="6"/><row Id="7"/>', '<row Id="8"']

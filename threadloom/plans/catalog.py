@@ -146,8 +146,8 @@ FULL_THREAD_VIEW = """SELECT q.id AS question_id, a.id AS answer_id, a.score AS
   LEFT JOIN answers a ON a.parent_id = q.id LEFT JOIN comments c ON c.post_id = a.id"""
 
 
-def _thread_view(threads: DataFrame) -> DataFrame:
-    return flatten_threads(threads).select(
+def _thread_view(flat: DataFrame) -> DataFrame:
+    return flat.select(
         F.col("question.id").alias("question_id"),
         F.col("question.title").alias("question_title"),
         F.col("answer.id").alias("answer_id"),
@@ -170,16 +170,16 @@ def _full_thread_view(flat: DataFrame) -> DataFrame:
     )
 
 
-def _stored_threads(spark: SparkSession, base: str) -> DataFrame:
-    """A stored thread table in the form ``flatten_threads`` takes."""
+def _stored_flat(spark: SparkSession, base: str) -> DataFrame:
+    """A stored thread table flattened as ``flatten_threads`` does, whether or not a thread
+    comes as several rows: it is without answers only if all its rows are."""
     rows = sources.read_table(spark, base, "thread")
-    return rows.select(
-        F.col("question.id").alias("thread_key"),
-        F.lit(0).alias("part"),
-        F.size("answers").alias("n_answers"),
-        "question",
-        "answers",
-    )
+    question = F.struct("question.id", "question.title").alias("question")
+    answers = rows.select(question, F.explode("answers").alias("answer"))
+    sizes = rows.select(question, F.size("answers.id").alias("n"))
+    totals = sizes.groupBy("question").agg(F.sum("n").alias("n"))
+    no_answer = F.lit(None).cast(answers.schema["answer"].dataType).alias("answer")
+    return answers.unionByName(totals.where("n = 0").select("question", no_answer))
 
 
 def _one_line_text() -> Column:
@@ -485,7 +485,7 @@ def e3_orphan_comments(spark, sf_dir):
 
 @query("e4_threads", THREAD_VIEW, POSTS, QUESTIONS, ANSWERS)
 def e4_threads(spark, sf_dir):
-    return _thread_view(build_threads(A.star_posts(spark, sf_dir)))
+    return _thread_view(flatten_threads(build_threads(A.star_posts(spark, sf_dir))))
 
 
 @query(
@@ -695,7 +695,7 @@ def h3_comment_table(spark, sf_dir):
 def h4_thread_table(spark, sf_dir):
     base = scratch_dir(spark, "tables")
     sinks.write_table(build_threads(A.star_posts(spark, sf_dir)), "thread", base)
-    return _thread_view(_stored_threads(spark, base))
+    return _thread_view(_stored_flat(spark, base))
 
 
 @query("h5_truncate_idempotent", f"SELECT {POST_VIEW} FROM posts", POSTS)
@@ -773,7 +773,7 @@ def i3_threads(spark, sf_dir):
     plans.threads_without_comments(
         spark, _posts_xml(spark, sf_dir), _comments_xml(spark, sf_dir), base, count_quality=False
     )
-    return _thread_view(_stored_threads(spark, base))
+    return _thread_view(_stored_flat(spark, base))
 
 
 @query("i4_threads_with_comments", FULL_THREAD_VIEW, POSTS, COMMENTS, QUESTIONS, ANSWERS)
@@ -782,4 +782,4 @@ def i4_threads_with_comments(spark, sf_dir):
     plans.threads_with_comments(
         spark, _posts_xml(spark, sf_dir), _comments_xml(spark, sf_dir), base, count_quality=False
     )
-    return _full_thread_view(flatten_threads(_stored_threads(spark, base)))
+    return _full_thread_view(_stored_flat(spark, base))
