@@ -47,9 +47,9 @@ def star_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = F.col("o_custkey") % 5 == 0
     answers = _as_posts(
         source_table(spark, sf_dir, "orders"),
-        id=F.when(renamed, _prefixed("x", "o_orderkey")).otherwise(_prefixed("o", "o_orderkey")),
+        id=F.concat(F.when(renamed, "x").otherwise("o"), F.col("o_orderkey").cast("string")),
         pos_type_id=F.lit("2"),
-        parent_id=F.when(renamed, _prefixed("n", "o_custkey")).otherwise(_prefixed("c", "o_custkey")),
+        parent_id=F.concat(F.when(renamed, "n").otherwise("c"), F.col("o_custkey").cast("string")),
         creation_date=F.col("o_orderdate"),
         score=F.floor(F.col("o_totalprice") / 1000),
         title=F.col("o_orderpriority"),
@@ -135,7 +135,8 @@ def xml_lines(df: DataFrame, name: str) -> DataFrame:
     fields = POST_FIELDS if name == "post" else COMMENT_FIELDS
     attributes = []
     for column, attribute, _ in fields:
-        text = format_iso(column) if kinds[column] == "timestamp_ntz" else F.col(column).cast("string")
+        is_date = kinds[column] == "timestamp_ntz"
+        text = format_iso(column) if is_date else F.col(column).cast("string")
         attributes.append(F.concat(F.lit(f'{attribute}="'), _escaped(text), F.lit('"')))
     return df.select(F.concat_ws(" ", F.lit("<row"), *attributes, F.lit("/>")).alias("value"))
 

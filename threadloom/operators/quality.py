@@ -46,7 +46,8 @@ def null_key_comments(comments: DataFrame) -> DataFrame:
 
 def require_keys(posts: DataFrame) -> DataFrame:
     """Strict mode: the posts unchanged, but a post that cannot be keyed fails the job."""
-    complaint = F.raise_error(F.concat(F.lit("post without key or type: "), F.to_json(F.struct("id"))))
+    which = F.coalesce("id", F.lit("no id"))
+    complaint = F.raise_error(F.concat(F.lit("post without key or type: "), which))
     return posts.where(F.when(_null_key(), complaint.cast("boolean")).otherwise(True))
 
 

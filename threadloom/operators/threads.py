@@ -167,7 +167,8 @@ def build_threads(
         parts = parts.unionByName(located, allowMissingColumns=True)
         aggregates.append(F.map_from_entries(F.collect_list("entry")).alias("lists"))
 
-    grouped = group_divided((parts, ["thread_key", *(["part"] if split else [])]), "part", *aggregates)
+    keys = ["thread_key", "part"] if split else ["thread_key"]
+    grouped = group_divided((parts, keys), "part", *aggregates)
     if not keep_questionless:
         grouped = grouped.where(F.col("q").isNotNull())
 

@@ -201,7 +201,8 @@ def _posts_xml(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _comments_xml(spark: SparkSession, sf_dir: str) -> str:
-    return A.write_xml(A.star_comments(spark, sf_dir), "comment", scratch_dir(spark, "comments-xml"))
+    path = scratch_dir(spark, "comments-xml")
+    return A.write_xml(A.star_comments(spark, sf_dir), "comment", path)
 
 
 # --- scans ----------------------------------------------------------------------------------
@@ -762,7 +763,12 @@ def i2_load_both(spark, sf_dir):
         F.col("score").cast("bigint").alias("score"),
     )
     comments = sources.read_table(spark, base, "comment").select(
-        F.lit("comment").alias("source"), "id", F.col("post_id").alias("parent"), date, "text", "score"
+        F.lit("comment").alias("source"),
+        "id",
+        F.col("post_id").alias("parent"),
+        date,
+        "text",
+        "score",
     )
     return posts.unionByName(comments)
 

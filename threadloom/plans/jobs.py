@@ -69,7 +69,9 @@ def _load(
         seen,
         F.count("*").alias("lines"),
         F.count("reason").alias("rejected"),
-        F.count_if((F.col("bad_values") > 0) & F.col("reason").isNull()).alias("rows_with_bad_values"),
+        F.count_if(F.col("reason").isNull() & (F.col("bad_values") > 0)).alias(
+            "rows_with_bad_values"
+        ),
     )
     rows = accepted(typed)
     routed = None
