@@ -1,0 +1,52 @@
+"""Line dedup against brute force."""
+
+from collections import Counter, defaultdict
+
+from threadloom.llm import lines
+
+
+def slow(rows, ratio, least):
+    pages, counts = Counter(), defaultdict(Counter)
+    for _, host, text in rows:
+        pages[host] += 1
+        counts[host].update({x.strip(" ") for x in (text or "").split("\n")} - {""})
+    found = []
+    for key, host, text in rows:
+        if text is None:
+            found.append((key, host, None, 0))
+            continue
+        parts = text.split("\n")
+        kept = [
+            x
+            for x in parts
+            if not (x.strip(" ") and counts[host][x.strip(" ")] >= least
+                    and counts[host][x.strip(" ")] > ratio * pages[host])
+        ]
+        found.append((key, host, "\n".join(kept), len(parts) - len(kept)))
+    return sorted(found, key=repr)
+
+
+def test_drops_what_a_host_repeats(spark):
+    rows = [(i, "a", f"head\n own {i} \n\nfoot  \nfoot") for i in range(30)]
+    rows += [(100 + i, None, f"null host\nline {i}") for i in range(6)]
+    rows += [(200 + i, "small", "same") for i in range(4)]
+    rows += [(300, "a", None), (301, "a", ""), (302, "a", "head"), (302, "a", "head"), (None, "a", "foot\nx")]
+    rows += [(400, "a", "y" * 200_000 + "\n" + "foot\n" * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    df = df.selectExpr("*", "1 AS host", "2 AS keys", "3 AS n", "4 AS line")
+    got = lines.drop_lines(df)
+    assert got.columns == [*df.columns, "_dropped"]
+    have = sorted(map(tuple, got.select("doc_id", "source", "text", "_dropped").collect()), key=repr)
+    assert have == slow(rows, lines.RATIO, lines.MIN_PAGES)
+    assert sum(r[3] for r in have) > 60
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, source string, text string")
+    assert lines.drop_lines(df).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([(1, "a", "x\ny")], "doc_id long, source string, text string")
+    plan = lines.drop_lines(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,126 @@
+"""SimHash against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from threadloom.llm import components, simhash
+
+
+def slow_fingerprint(text, k=3):
+    words = [w for w in "".join(
+        chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""
+    ).translate({c: " " for c in range(9, 14)}).split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(rows, radius):
+    rows = [(key, fp) for key, fp in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(rows[i][1] ^ rows[j][1]).count("1") <= radius:
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        least[root(i)] = min(least.get(root(i), key), key)
+    return {key: least[root(i)] for i, (key, _) in enumerate(rows)}
+
+
+def texts():
+    rnd = random.Random(3)
+    vocabulary = ["".join(rnd.choices("abcdé", k=4)) for _ in range(300)]
+    base = [rnd.choices(vocabulary, k=rnd.choice([0, 1, 2, 3, 40, 200, 900])) for _ in range(60)]
+    found = []
+    for doc in base:
+        found.append(" ".join(doc))
+        for _ in range(rnd.choice([0, 0, 1, 4])):
+            copy = list(doc)
+            for _ in range(rnd.choice([0, 1, 2])):
+                if copy:
+                    copy[rnd.randrange(len(copy))] = rnd.choice(vocabulary)
+            found.append("\t".join(copy).title() + "\n")
+    return [*found, None, "", " \n", "x" * 300_000, "word " * 100_000, "   a\x1cb"]
+
+
+def test_groups_match_brute_force(spark):
+    rows = [(i * 7 % 1009, t) for i, t in enumerate(texts())]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 fp", "2 bucket")
+    got = {r["doc_id"]: r for r in simhash.near_duplicates(df).collect()}
+    fps = {key: slow_fingerprint(t) for key, t in rows}
+    assert {k: r["fp"] % (1 << 64) for k, r in got.items()} == fps
+    want = slow_components(fps.items(), 2)
+    assert {k: r["component"] for k, r in got.items()} == want
+    assert len(set(want.values())) < len(want) - 10
+
+
+def test_repeated_rows_and_empty_table(spark):
+    df = spark.createDataFrame([(5, "a b c d"), (5, "a b c d"), (None, "a b c d")], "doc_id long, text string")
+    assert [r["component"] for r in simhash.near_duplicates(df).collect()] == [5, 5, 5]
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 10])
+def test_bit_slices_match_popcounts(radius):
+    rnd = np.random.default_rng(1)
+    seeds = rnd.integers(0, 1 << 63, 20, dtype=np.uint64)
+    values = np.unique(np.concatenate([
+        s ^ (np.uint64(1) << rnd.integers(0, 64, 10, dtype=np.uint64)) ^ (np.uint64(1) << rnd.integers(0, 64, 10, dtype=np.uint64))
+        for s in seeds
+    ]))
+    n = len(values)
+    rows = simhash.close(simhash.planes_of(values), n, values, radius)
+    bits = np.unpackbits(rows.view(np.uint8), axis=1, bitorder="little")
+    assert not bits[:, n:].any()
+    want = np.bitwise_count(values[:, None] ^ values[None, :]) <= radius
+    assert (bits[:, :n].astype(bool) == want).all()
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in simhash.forest(values, radius):
+        assert want[i, j]
+        parent[root(i)] = root(j)
+    for i, j in np.argwhere(want):
+        assert root(i) == root(j)
+
+
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rnd = random.Random(5)
+    fps = {0}
+    while len(fps) < 120:
+        fps.add(rnd.choice(list(fps)) ^ (1 << rnd.randrange(20)) ^ (1 << rnd.randrange(20)))
+    fps |= {rnd.getrandbits(63) for _ in range(100)}
+    values = spark.createDataFrame([(f,) for f in fps], "fp long")
+    links = simhash.close_links(values, 2, 5, 3)
+    got = {r["node"]: r["root"] for r in components.components(links).collect()}
+    want = slow_components([(f, f) for f in fps], 2)
+    assert {f: got.get(f, f) for f in fps} == want
+
+
+def test_stretches_must_cover_the_radius(spark):
+    with pytest.raises(ValueError):
+        simhash.close_links(spark.range(1).toDF("fp"), 3, 5, 3)
+
+
+def test_long_chains_and_stars_are_one_component(spark):
+    chain = [(i, i + 1) for i in range(1, 60)] + [(1000, i) for i in range(1001, 1100)]
+    got = components.components(spark.createDataFrame(chain, "u long, v long")).collect()
+    want = {i: 1 for i in range(1, 61)} | {i: 1000 for i in range(1000, 1100)}
+    assert {r["node"]: r["root"] for r in got} == want

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe
+from threadloom.llm import bpe, lines, packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,5 +31,70 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_bpe,)}
-ORACLES: dict[str, str] = {}
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash and its group."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select(
+        "doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that its source repeats."""
+    cleaned = lines.drop_lines(table(spark, sf_dir, "documents"), host="source")
+    return cleaned.select("doc_id", "source", "text", F.col("_dropped").alias("n_dropped"))
+
+
+OP7_SQL = f"""
+WITH pages AS (
+    SELECT source, list_distinct(string_split(text, chr(10))) AS lines FROM documents
+), totals AS (
+    SELECT source, count(*) AS pages FROM pages GROUP BY source
+), contained AS (
+    SELECT DISTINCT source, page, trim(line) AS line
+    FROM (SELECT source, row_number() OVER () AS page, unnest(lines) AS line FROM pages)
+), shared AS (
+    SELECT source, line, count(*) AS n FROM contained WHERE line <> ''
+    GROUP BY source, line HAVING count(*) >= {lines.MIN_PAGES}
+), dropped AS (
+    SELECT t.source, list(line) AS keys
+    FROM shared s JOIN totals t ON s.source IS NOT DISTINCT FROM t.source
+    WHERE n > {lines.RATIO}::DOUBLE * pages GROUP BY t.source
+), cut AS (
+    SELECT doc_id, d.source, text, string_split(text, chr(10)) AS lines,
+        coalesce(keys, []) AS keys
+    FROM documents d LEFT JOIN dropped x ON d.source IS NOT DISTINCT FROM x.source
+), kept AS (
+    SELECT *, list_filter(lines, lambda l: NOT list_contains(keys, trim(l))) AS kept FROM cut
+)
+SELECT doc_id, source,
+    CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(kept, chr(10)), '') END AS text,
+    coalesce(len(lines) - len(kept), 0) AS n_dropped
+FROM kept
+"""
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of 2048."""
+    docs = table(spark, sf_dir, "documents")
+    return with_crc(packing.pack(docs, bpe.default_path(WORD_VOCABULARY)))
+
+
+def with_crc(pieces: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op1_simhash, op5_bpe, op7_line_dedup, op9_packing)
+}
+ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
