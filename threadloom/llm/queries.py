@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, lines, packing, simhash
+from threadloom.llm import bpe, lines, packing, simhash, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages that an earlier one has."""
+    cleaned = substring.drop_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id",
+        "text",
+        F.col("_sentences").alias("n_sentences"),
+        F.col("_removed").alias("n_removed"),
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     docs = table(spark, sf_dir, "documents")
@@ -95,6 +106,6 @@ def with_crc(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op5_bpe, op7_line_dedup, op9_packing)
+    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op5_bpe, op7_line_dedup, op9_packing)
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
