@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, lines, packing, simhash, substring
+from threadloom.llm import bpe, lines, packing, simhash, substring, token_files
+from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +93,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc(packing.pack(docs, bpe.default_path(WORD_VOCABULARY)))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens written to files and read back."""
+    folder = scratch_dir(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_tokens(docs, bpe.default_path(BYTE_VOCABULARY), folder)
+    found = token_files.read_tokens(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def with_crc(pieces: DataFrame) -> DataFrame:
     """Pieces with a checksum in place of their ids."""
     return pieces.select(
@@ -106,6 +116,6 @@ def with_crc(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op5_bpe, op7_line_dedup, op9_packing)
+    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op5_bpe, op7_line_dedup, op9_packing, op10_token_files)
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
