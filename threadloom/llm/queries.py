@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, lines, packing, simhash, substring, token_files
+from threadloom.llm import bpe, lines, packing, simhash, substring, syncmers, token_files
 from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,20 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside its edited text's and the next document's."""
+    found = syncmers.edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     docs = table(spark, sf_dir, "documents")
@@ -116,6 +130,6 @@ def with_crc(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op5_bpe, op7_line_dedup, op9_packing, op10_token_files)
+    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op5_bpe, op7_line_dedup, op9_packing, op10_token_files)
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
