@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, lines, packing, simhash, substring, syncmers, token_files
+from threadloom.llm import bpe, language, lines, packing, simhash, substring, syncmers, token_files
 from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,15 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learnt from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, ~language.in_fold())
+    return language.identify(docs, model).select(
+        "doc_id", language.in_fold().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     docs = table(spark, sf_dir, "documents")
@@ -130,6 +139,6 @@ def with_crc(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op5_bpe, op7_line_dedup, op9_packing, op10_token_files)
+    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op4_language, op5_bpe, op7_line_dedup, op9_packing, op10_token_files)
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
