@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, language, lines, packing, simhash, substring, syncmers, token_files
+from threadloom.llm import bpe, language, lines, mixing, packing, simhash, substring, syncmers, token_files
 from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,22 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's scores, learnt from six of seven folds."""
+    docs = table(spark, sf_dir, "documents")
+    allowed = ~language.in_fold(folds=7)
+    found = mixing.score(docs, mixing.fit(docs, allowed), allowed)
+    return found.select(
+        "doc_id",
+        (~F.col("learn")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that its source repeats."""
     cleaned = lines.drop_lines(table(spark, sf_dir, "documents"), host="source")
@@ -139,6 +155,6 @@ def with_crc(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op4_language, op5_bpe, op7_line_dedup, op9_packing, op10_token_files)
+    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op4_language, op5_bpe, op6_lm_scores, op7_line_dedup, op9_packing, op10_token_files)
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
