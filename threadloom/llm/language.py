@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -329,3 +330,20 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", keys: tuple
     kinds = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
     schema = ", ".join([*kinds, "lang_pred string", "score double"])
     return map_batches(df.select(*keys, F.col(text).cast("string").alias("_text")), task, schema)
+
+
+def keep(df: DataFrame, model: Model | None, min_score: float, text: str = "text") -> DataFrame:
+    """The rows, unchanged, whose text has a recognised language with at least this score."""
+    place = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(model) if model else None
+        for whole in batches:
+            for at in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(at, TOGETHER)
+                if labeller:
+                    names, scores = labeller.label(batch.column(place).to_pylist())
+                    known = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores, strict=True)]
+                    yield batch.filter(pa.array(known, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
