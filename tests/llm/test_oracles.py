@@ -1,0 +1,31 @@
+"""Queries against their SQL in DuckDB, and the registry."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+from threadloom.llm import queries
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", queries.ORACLES)
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    result = con.execute(queries.ORACLES[name])
+    columns = [d[0] for d in result.description]
+    want = result.fetchall()
+    df = queries.QUERIES[name](spark, DATA)
+    assert sorted(df.columns) == sorted(columns)
+    got = [tuple(r) for r in df.select(*columns).collect()]
+    assert want and sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_registered():
+    names = registry.queries()
+    for n in range(1, 11):
+        assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
+    assert "pipeline" in names
+    assert queries.ORACLES.items() <= registry.oracle_sql().items()

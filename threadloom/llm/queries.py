@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, language, lines, mixing, packing, simhash, substring, syncmers, token_files
+from threadloom.llm import bpe, language, lines, mixing, packing, search, simhash, substring, syncmers, token_files
 from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,44 @@ FROM kept
 """
 
 
+def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark text whose id is divisible by 20."""
+    queries = table(spark, sf_dir, "benchmark").where("item_id % 20 = 0")
+    found = search.top_k(
+        table(spark, sf_dir, "documents"), queries, 10, query_key="item_id", query_text="text"
+    )
+    return found.withColumn("score", F.round("score", 6))
+
+
+OP8_SQL = f"""
+WITH letters AS (
+    SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower
+), docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower),
+        '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS terms FROM documents, letters
+), stats AS (
+    SELECT count(*) AS n, avg(len(terms)) AS average FROM docs
+), tf AS (
+    SELECT doc_id, any_value(len(terms)) AS length, term, count(*) AS times
+    FROM (SELECT doc_id, terms, unnest(terms) AS term FROM docs) GROUP BY doc_id, term
+), df AS (
+    SELECT term, count(*) AS df FROM tf GROUP BY term
+), asked AS (
+    SELECT query_id, term, count(*) AS times FROM (
+        SELECT item_id AS query_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), upper, lower), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term
+        FROM benchmark, letters WHERE item_id % 20 = 0) GROUP BY query_id, term
+), scores AS (
+    SELECT query_id, doc_id, sum(a.times * ln(1 + (n - df + 0.5) / (df + 0.5)) * t.times
+        * ({search.K1} + 1) / (t.times + {search.K1} * (1 - {search.B} + {search.B} * length / average))) AS score
+    FROM asked a JOIN tf t USING (term) JOIN df USING (term), stats GROUP BY query_id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scores
+)
+SELECT query_id, rank::INTEGER AS rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in sequences of 2048."""
     docs = table(spark, sf_dir, "documents")
@@ -155,6 +193,6 @@ def with_crc(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op4_language, op5_bpe, op6_lm_scores, op7_line_dedup, op9_packing, op10_token_files)
+    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op4_language, op5_bpe, op6_lm_scores, op7_line_dedup, op8_search, op9_packing, op10_token_files)
 }
-ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op8_search": OP8_SQL}
