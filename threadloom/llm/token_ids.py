@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-from threadloom.llm.bpe import KEPT_PIECES, pieces_of
+from threadloom.llm.bpe import pieces_of
+
+# Pieces of one generation; two are kept. This bounds memory and changes no result.
+GENERATION = 400_000
+
+# A mark that ends a word: no vocabulary word crosses its place.
+END_MARK = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[,.](?:\s|$))")
+
+
+def is_latin(text: str) -> bool:
+    """Whether no letter is composed, and lower case the same in every library."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Encoder:
@@ -30,9 +46,10 @@ class Encoder:
         # the vocabulary with word ends drops white space, the other one encodes it
         self.keeps_white_space = bool(self.library.encode(" ", add_special_tokens=False).ids)
         self.store: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -40,17 +57,34 @@ class Encoder:
         cut = [
             None
             if "<|" in text and any(s in text for s in self.specials)
-            else pieces_of(text, self.keeps_white_space)
+            else self._pieces(text)
             for text in texts
         ]
-        if len(self.store) > KEPT_PIECES:
-            self.store = {}
-        store = self.store
-        missing = list({p for pieces in cut if pieces for p in pieces if p not in store})
-        store.update(zip(missing, self._library(missing), strict=True))
+        store = self._with(set().union(*filter(None, cut)))
         return [
             self._library([text])[0]
             if pieces is None
             else b"".join(map(store.__getitem__, pieces))
             for text, pieces in zip(texts, cut, strict=True)
         ]
+
+    def _pieces(self, text: str) -> list[str]:
+        if not self.keeps_white_space and is_latin(text):
+            # this vocabulary lowers every letter: words then differ less
+            text = END_MARK.sub(" ", text.lower())
+        return pieces_of(text, self.keeps_white_space)
+
+    def _with(self, pieces: set[str]) -> dict[str, bytes]:
+        """The store, with these pieces in it."""
+        if len(self.store) > GENERATION:
+            self.store, self.older = {}, self.store
+        store, older = self.store, self.older
+        missing = []
+        for piece in pieces.difference(store):
+            known = older.get(piece)
+            if known is None:
+                missing.append(piece)
+            else:
+                store[piece] = known
+        store.update(zip(missing, self._library(missing), strict=True))
+        return store
