@@ -61,8 +61,8 @@ def main() -> None:
         run(spark, *paths, scratch_dir(spark, "bench-job"), **options)
 
     entries = {
-        "a2_scan_posts": lambda: drain(scan(posts_xml, "post")),
-        "a2_scan_posts_any_layout": lambda: drain(scan(posts_xml, "post", one_row_per_line=False)),
+        "a2_scan_posts": lambda: drain(scan(posts_xml, "post", one_row_per_line=True)),
+        "a2_scan_posts_any_layout": lambda: drain(scan(posts_xml, "post")),
         "a3_scan_comments": lambda: drain(scan(comments_xml, "comment")),
         "b11_hash_documents": lambda: drain(documents.select(string_hash("text").alias("h"))),
         "e1_cogroup": lambda: drain(

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -86,7 +88,7 @@ def test_threads_with_comments(spark, dumps):
     assert read_table(spark, base, "comment").count() == 5
 
 
-@pytest.mark.parametrize("max_group", [1, 10_000])
+@pytest.mark.parametrize("max_group", [1, None])
 def test_stored_threads_flatten_whether_split_or_not(spark, dumps, max_group):
     posts, comments, base = dumps
     threads_with_comments(
@@ -94,6 +96,9 @@ def test_stored_threads_flatten_whether_split_or_not(spark, dumps, max_group):
     )
     split = read_table(spark, base, "thread").count() > 6
     assert split == (max_group == 1)
+    if split:
+        parts = read_table(spark, base, "thread_part", table="thread").groupBy("thread_key", "n_parts")
+        assert all(r["n_parts"] == r["count"] for r in parts.count().collect())
     flat = _stored_flat(spark, base)
     pairs = flat.select("question.id", F.col("answer.id").alias("a")).distinct().collect()
     assert sorted(pairs, key=str) == sorted(
@@ -109,13 +114,60 @@ def test_load_reports_and_rejects(spark, tmp_path):
     path = dump(spark, tmp_path, "post", posts_frame(spark, rows), bad)
     base = str(tmp_path / "tables")
     report = load_posts(spark, path, base)
+    # two rows on one line are two good rows
+    assert report.scans == {"post": {"lines": 9, "rejected": 1, "rows_with_bad_values": 1}}
+    assert report.quality == {"unsupported_type": 4, "null_key_posts": 5}
+    assert read_table(spark, base, "post").count() == 8
+    rejected = spark.read.parquet(f"{base}/post_rejects").collect()
+    # the row that was cut off took the closing tag in
+    assert len(rejected) == 1 and rejected[0]["line"].startswith(bad[2])
+    by_line = str(tmp_path / "by-line")
+    report = load_posts(spark, path, by_line, one_row_per_line=True)
     assert report.scans == {"post": {"lines": 8, "rejected": 2, "rows_with_bad_values": 1}}
     assert report.quality == {"unsupported_type": 2, "null_key_posts": 3}
-    assert read_table(spark, base, "post").count() == 6
-    rejected = spark.read.parquet(f"{base}/post_rejects").collect()
+    rejected = spark.read.parquet(f"{by_line}/post_rejects").collect()
     assert sorted(r["line"] for r in rejected) == sorted(bad[1:])
     with pytest.raises(PySparkException):
-        load_posts(spark, path, str(tmp_path / "strict"), strict=True)
+        load_posts(spark, path, base, strict=True)
+    # the failed run left the old rows, the clean one empties the rejects
+    assert read_table(spark, base, "post").count() == 8
+    load_posts(spark, dump(spark, tmp_path, "post", posts_frame(spark, rows)), base)
+    assert read_table(spark, base, "post").count() == 5
+    assert spark.read.parquet(f"{base}/post_rejects").count() == 0
+
+
+def test_a_broken_row_without_content_is_no_head(spark, tmp_path):
+    path, base = tmp_path / "posts.xml", str(tmp_path / "tables")
+    path.write_text('<?xml version="1.0"?>\n<posts count="2">\n<row\n<row Id="2" PostTypeId="1"/><row Id="3" PostTypeId="1"/></posts>')
+    report = load_posts(spark, str(path), base)
+    assert report.scans["post"] == {"lines": 3, "rejected": 1, "rows_with_bad_values": 0}
+    assert spark.read.parquet(f"{base}/post_rejects").collect() == [("<row", "layout")]
+    assert read_table(spark, base, "post").count() == 2
+    with pytest.raises(ValueError, match="broken rows"):
+        load_posts(spark, str(path), base, strict=True)
+    path.write_text('<rows>\n<item Id="2" PostTypeId="1"/><item\nId="3" PostTypeId="1"/></rows>')
+    report = load_posts(spark, str(path), base, root="rows", record="item", strict=True)
+    assert report.scans["post"]["lines"] == 2 and read_table(spark, base, "post").count() == 2
+
+
+def test_catalog_jobs_and_strict_comments(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS jobs")
+    posts = dump(spark, tmp_path, "post", posts_frame(spark, QUESTIONS + ANSWERS))
+    comments = dump(spark, tmp_path, "comment", comments_frame(spark, COMMENTS))
+    threads_with_comments(spark, posts, comments, database="jobs", strict=True)
+    assert spark.table("jobs.thread").count() == 6 and spark.table("jobs.post_rejects").count() == 0
+    keyless = dump(spark, tmp_path, "comment", comments_frame(spark, [comment("c", None)]))
+    with pytest.raises(PySparkException, match="comment without post"):
+        threads_with_comments(spark, posts, keyless, database="jobs", strict=True)
+    assert spark.table("jobs.comment").count() == 5
+
+
+def test_jobs_leave_no_intermediates(spark, tmp_path, dumps):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"), "threadloom")
+    posts, comments, base = dumps
+    twice = posts_frame(spark, QUESTIONS + ANSWERS + [post("20", "2", "2", day=3)])
+    threads_with_comments(spark, dump(spark, tmp_path, "post", twice), comments, base)
+    assert not [d for d in shared.glob("job-*")] if shared.exists() else True
 
 
 def test_strict_refuses_posts_without_key_or_type(spark, tmp_path):
@@ -175,7 +227,9 @@ def test_session_helpers(spark, tmp_path):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     with sized_shuffle(spark, 10 * 2**30):
-        assert spark.conf.get(key) == "80"
+        assert spark.conf.get(key) == "10"
+    with sized_shuffle(spark, 90 * 2**40):
+        assert spark.conf.get(key) == "20000"
     with sized_shuffle(spark, 10):
         assert spark.conf.get(key) == before
     assert spark.conf.get(key) == before

@@ -237,3 +237,55 @@ def test_large_key_tables_are_not_broadcast(spark, monkeypatch):
     p, c = posts_frame(spark, posts), comments_frame(spark, comments)
     got = collected_threads(build_threads(p, c, max_group=4))
     assert {k: v[:3] for k, v in got.items()} == {k: v[:3] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("with_comments", [True, False])
+def test_a_thread_is_one_row_at_every_size(spark, tmp_path, monkeypatch, with_comments):
+    from threadloom.operators import threads as building
+
+    posts, comments = random_archive(8)
+    p = stored(spark, posts_frame(spark, posts), tmp_path, "p")
+    c = stored(spark, comments_frame(spark, comments), tmp_path, "c") if with_comments else None
+    columns = ["thread_key", "part", "n_parts", "n_answers", "question", "answers"]
+    want = {r["thread_key"]: r for r in build_threads(p, c).collect()}
+    monkeypatch.setattr(building, "MAX_GROUP", 3)
+    got = build_threads(p, c)
+    assert got.columns == columns
+    assert {r["thread_key"]: r for r in got.collect()} == want
+    kept = build_threads(p, c, keep_questionless=True).collect()
+    assert len({r["thread_key"] for r in kept}) == len(kept) > len(want)
+
+
+def test_more_answers_and_comments_than_a_task_lists(spark):
+    posts = spark.range(10_001).select(F.concat(F.lit("a"), "id").alias("id"), F.lit("2").alias("pos_type_id"), F.lit("q").alias("parent_id"))
+    known = posts_frame(spark, [post("q", "1"), post("r", "1"), post("only", "2", "r")])
+    p = known.unionByName(posts, allowMissingColumns=True)
+    c = comments_frame(spark, []).unionByName(
+        spark.range(10_001).select(F.col("id").cast("string"), F.lit("only").alias("post_id")), allowMissingColumns=True
+    )
+    rows = {r["thread_key"]: r for r in build_threads(p, c).select(
+        "thread_key", "n_parts", "n_answers", F.size("answers").alias("listed"),
+        F.size(F.array_distinct(F.transform("answers", lambda a: a["id"]))).alias("different"),
+        F.size(F.flatten("answers.comments")).alias("comments"),
+    ).collect()}
+    assert tuple(rows["q"]) == ("q", 1, 10_001, 10_001, 10_001, 0)
+    assert tuple(rows["r"]) == ("r", 1, 1, 1, 1, 10_001)
+    (nested,) = nest_comments(p.where("id = 'only'"), c).collect()
+    assert len(nested["comments"]) == 10_001 and nested["n_slices"] == 1
+    (group,) = group_by_key(posts, "parent_id").collect()
+    assert len(group["items"]) == 10_001 and group["n_parts"] == 1
+
+
+def test_flat_relations(spark):
+    from threadloom.operators.threads import answers_of_questions, comments_of_posts
+
+    posts, comments = random_archive(9)
+    p, c = posts_frame(spark, posts), comments_frame(spark, comments)
+    asked = {x["id"] for x in posts if x["pos_type_id"] == "1"}
+    got = answers_of_questions(p).select("question.id", F.col("answer.id").alias("a")).collect()
+    assert sorted(map(tuple, got)) == sorted(
+        (x["parent_id"], x["id"]) for x in posts if x["pos_type_id"] == "2" and x["parent_id"] in asked
+    )
+    known = {x["id"] for x in posts}
+    got = comments_of_posts(p, c).select("post.id", F.col("comment.id").alias("c")).collect()
+    assert sorted(map(tuple, got)) == sorted((x["post_id"], x["id"]) for x in comments if x["post_id"] in known)

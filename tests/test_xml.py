@@ -37,7 +37,7 @@ def write(tmp_path, lines, name="posts.xml", newline="\n"):
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
 def test_rows_and_rejects(spark, tmp_path, newline):
     lines = SILENT[:2] + GOOD + SILENT[2:4] + list(BAD) + SILENT[4:]
-    scan = scan_rows(spark, write(tmp_path, lines, newline=newline), "post")
+    scan = scan_rows(spark, write(tmp_path, lines, newline=newline), "post", one_row_per_line=True)
     assert {r["line"]: r["reason"] for r in rejects(scan).collect()} == BAD
 
     typed = type_records(scan, "post")
@@ -65,11 +65,11 @@ def test_editor_alias(spark, tmp_path):
 
 def test_strict(spark, tmp_path):
     path = write(tmp_path, SILENT[:2] + GOOD[:2] + SILENT[4:])
-    scan = scan_rows(spark, path, "post", strict=True)
+    scan = scan_rows(spark, path, "post", strict=True, one_row_per_line=True)
     assert accepted(type_records(scan, "post", strict=True)).count() == 2
     for i, bad in enumerate([*BAD, GOOD[2]]):
         path = write(tmp_path, [GOOD[0], bad], f"bad{i}.xml")
-        scan = scan_rows(spark, path, "post", strict=True)
+        scan = scan_rows(spark, path, "post", strict=True, one_row_per_line=True)
         with pytest.raises((PySparkException, Py4JJavaError)):
             accepted(type_records(scan, "post", strict=True)).collect()
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from threadloom.functions import or_empty, ordered_list
 from threadloom.operators.rows import comment_struct
 from threadloom.operators.skew import (
-    MAX_GROUP,
     Splits,
     divide,
     group_divided,
@@ -33,25 +32,27 @@ def comment_lists(comments: DataFrame, splits: Splits | None) -> DataFrame:
     return group_divided(divided, "slice", items.alias("comments"))
 
 
-def nest_comments(posts: DataFrame, comments: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
+def nest_comments(
+    posts: DataFrame, comments: DataFrame, max_group: int | None = None
+) -> DataFrame:
     """Posts with their comments as a list, empty when there are none.
 
-    Ids must be unique (see ``first_posts``). Comments whose post is missing drop out. Adds
-    ``slice``: 0, except that a post with more than ``max_group`` comments comes as several
-    rows, each with its slice of the comments.
+    Ids must be unique (see ``first_posts``). Comments whose post is missing drop out. A post is
+    one row. Adds ``slice`` and ``n_slices``, 0 and 1, except that with ``max_group`` a post with
+    more comments comes as several rows, each with its slice of the comments.
     """
-    splits = measure(comments_per_post(comments), "post_id", "n_comments", max_group)
+    counts = comments_per_post(comments)
+    splits = None if max_group is None else measure(counts, "post_id", "n_comments", max_group)
     lists = comment_lists(comments, splits).withColumnRenamed("slice", "_slice")
-    parents = posts.drop("comments").withColumn("slice", F.lit(0))
+    parents = posts.drop("comments").withColumns({"slice": F.lit(0), "_slices": F.lit(1)})
     match = parents["id"] == lists["post_id"]
     if splits is not None:
         sized = with_parts(posts.drop("comments"), "id", splits, "_slices")
         parents = sized.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
         match = (parents["id"] == lists["post_id"]) & (parents["slice"] == lists["_slice"])
     joined = parents.join(lists, match, "left")
-    return joined.withColumn("comments", or_empty("comments", COMMENT_LIST)).drop(
-        "_slices", "_slice", "post_id"
-    )
+    nested = joined.withColumn("comments", or_empty("comments", COMMENT_LIST))
+    return nested.withColumnRenamed("_slices", "n_slices").drop("_slice", "post_id")
 
 
 def missing_post_keys(posts: DataFrame, comments: DataFrame) -> DataFrame:

@@ -10,39 +10,48 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import ordered_list
 from threadloom.operators.skew import (
-    MAX_GROUP,
     divide,
     group_divided,
     measure,
     measure_groups,
     numbered,
+    part_count,
+    with_part_count,
 )
 from threadloom.schemas import ROW_ID
 
 
 def group_by_key(
-    df: DataFrame, key: str, order: list[Column] | None = None, max_group: int = MAX_GROUP
+    df: DataFrame, key: str, order: list[Column] | None = None, max_group: int | None = None
 ) -> DataFrame:
-    """All rows of each key as a list of structs: columns ``key``, ``part`` and ``items``."""
+    """All rows of each key as a list of structs: columns ``key``, ``part``, ``n_parts`` and
+    ``items``.
+
+    A key is one row, part 0 of 1. With ``max_group``, a key with more rows comes in parts.
+    """
     kept = df.where(F.col(key).isNotNull())
     values = [c for c in df.columns if c != ROW_ID]
-    divided = divide(kept, key, measure_groups(kept, key, max_group), "part")
+    splits = None if max_group is None else measure_groups(kept, key, max_group)
+    divided = divide(kept, key, splits, "part")
     items = ordered_list(F.struct(*values), *(order or []))
-    return group_divided(divided, "part", items.alias("items")).select(key, "part", "items")
+    grouped = group_divided(divided, "part", items.alias("items"), *part_count(splits))
+    return with_part_count(grouped, splits).select(key, "part", "n_parts", "items")
 
 
 def co_group(
-    tables: Mapping[str, tuple[DataFrame, str]], max_group: int = MAX_GROUP
+    tables: Mapping[str, tuple[DataFrame, str]], max_group: int | None = None
 ) -> DataFrame:
     """Group several tables on a shared key: one list per table for every key of any of them.
 
     ``tables`` maps an output name to a DataFrame and its key column. The tables are stacked and
     grouped once, so all of them meet in a single shuffle and no join is needed. Columns:
-    ``key``, ``part`` and one list per table, empty where the table lacks the key.
+    ``key``, ``part``, ``n_parts`` and one list per table, empty where the table lacks the key. A
+    key is one row, part 0 of 1; with ``max_group``, a key with more rows comes in parts.
     """
     kept = {n: (df.where(F.col(k).isNotNull()), k) for n, (df, k) in tables.items()}
     keys = reduce(DataFrame.union, [df.select(F.col(k).alias("key")) for df, k in kept.values()])
-    splits = measure(keys.groupBy("key").agg(F.count("*").alias("n")), "key", "n", max_group)
+    counts = keys.groupBy("key").agg(F.count("*").alias("n"))
+    splits = None if max_group is None else measure(counts, "key", "n", max_group)
 
     stacked = []
     for name, (df, key) in kept.items():
@@ -52,5 +61,6 @@ def co_group(
         stacked.append(rows.select(F.col(key).alias("key"), F.struct(*values).alias(name), *row_id))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
     lists = [ordered_list(F.col(name)).alias(name) for name in tables]
-    groups = group_divided(divide(both, "key", splits, "part"), "part", *lists)
-    return groups.select("key", "part", *tables)
+    divided = divide(both, "key", splits, "part")
+    groups = group_divided(divided, "part", *lists, *part_count(splits))
+    return with_part_count(groups, splits).select("key", "part", "n_parts", *tables)

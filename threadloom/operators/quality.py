@@ -1,6 +1,7 @@
 """Data-quality channels: what a run drops or overrides, as tables and as counts.
 
-Everything here reads key columns only.
+Counting reads keys, types and what orders the copies of a post, never a body, except that copies
+of a post with equal dates are told apart by a hash of the whole row.
 """
 
 from __future__ import annotations
@@ -51,6 +52,14 @@ def require_keys(posts: DataFrame) -> DataFrame:
     return posts.where(F.when(_null_key(), complaint.cast("boolean")).otherwise(True))
 
 
+def require_comment_keys(comments: DataFrame) -> DataFrame:
+    """Strict mode: the comments unchanged, but a comment that names no post fails the job."""
+    which = F.coalesce("id", F.lit("no id"))
+    complaint = F.raise_error(F.concat(F.lit("comment without post: "), which))
+    no_post = F.col("post_id").isNull()
+    return comments.where(F.when(no_post, complaint.cast("boolean")).otherwise(True))
+
+
 def multi_question_keys(posts: DataFrame, key: Column | None = None) -> DataFrame:
     """Thread keys with more than one question, with the number of questions."""
     questions = with_thread_key(posts, key).where(is_question())

@@ -2,14 +2,15 @@
 
 A group is measured first, from its key column alone: that aggregation combines before its
 shuffle, so one huge key costs no more than any other. Only keys above the limit are split, each
-into as many numbered parts as it needs; every other key has the single part 0. A split group
-comes out as several rows, one per part, and nothing is left out.
+into as many numbered parts as it needs; every other key has the single part 0. Nothing is left
+out. Results come in parts only where the caller gave the limit; otherwise parts are put together.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from threadloom.schemas import ROW_ID
 from threadloom.session import scratch_dir
 from threadloom.sources import with_row_id
 
-# Rows one nested list may hold. A part also stays far below Spark's 2 GB row limit.
+# Posts of one thread that a task lists, where the caller gave no limit: changes the plan only.
 MAX_GROUP = 10_000
 
 # Key tables within both bounds are broadcast; larger ones are joined through a shuffle.
@@ -103,10 +104,11 @@ def with_parts(df: DataFrame, key: str, splits: Splits | None, name: str) -> Dat
 
 
 def _has_positions(df: DataFrame) -> bool:
-    """Whether the table is a plain Parquet scan, whose rows have a place in a file."""
-    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
-    kinds = [hidden.apply(i).dataType().simpleString() for i in range(hidden.size())]
-    return len(kinds) == 1 and "row_index" in kinds[0]
+    """Whether the table's rows come from files and have places in them."""
+    try:
+        return "row_index" in df.select("_metadata.row_index").columns
+    except AnalysisException:
+        return False
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -136,10 +138,20 @@ def divide(df: DataFrame, key: str, splits: Splits | None, name: str) -> tuple[D
     if splits is None:
         return df.withColumn(name, F.lit(0)), [key]
     sized = with_parts(numbered(df), key, splits, "_parts")
-    parted = sized.withColumn(name, part_of(F.col("_parts"), F.col(ROW_ID))).drop("_parts")
+    parted = sized.withColumn(name, part_of(F.col("_parts"), F.col(ROW_ID)))
     return (parted if ROW_ID in df.columns else parted.drop(ROW_ID)), [key, name]
 
 
+def part_count(splits: Splits | None) -> list[Column]:
+    """What to aggregate for :func:`with_part_count`."""
+    return [] if splits is None else [F.max("_parts").alias("n_parts")]
+
+
+def with_part_count(grouped: DataFrame, splits: Splits | None) -> DataFrame:
+    """Grouped rows with ``n_parts``, the number of parts of their key."""
+    return grouped if splits is not None else grouped.withColumn("n_parts", F.lit(1))
+
+
 def group_divided(divided: tuple[DataFrame, list], name: str, *aggregates: Column) -> DataFrame:
     """Collect divided rows into lists; the part number is 0 where nothing was split.
 

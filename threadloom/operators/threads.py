@@ -5,9 +5,13 @@ never has to be joined to its answers. Comments are first grouped by post and re
 through a table of post keys only, so a post's body is shuffled once and not a second time to
 meet its comments.
 
-A thread with more than ``max_group`` answers and comments is split into parts, several rows
-that repeat the question's own columns. Every answer and comment is in exactly one part; an
-answer with very many comments is listed several times, each time with another slice of them.
+A thread is one row at every size. The posts of a very large one are sorted and listed in parts
+by several tasks, and the lists are then put together; that last row is the result itself, so no
+plan can avoid it. A caller that wants no such row gives ``max_group``: threads with more answers
+and comments then come as several rows that repeat the question's own columns, and every row tells
+its ``part`` and the number of parts. Every answer and comment is in exactly one part; an answer
+with very many comments is listed several times, each time with another slice of them. The flat
+relations :func:`answers_of_questions` and :func:`comments_of_posts` need no grouping at all.
 """
 
 from __future__ import annotations
@@ -54,15 +58,22 @@ def _last_per_thread(questions: DataFrame) -> DataFrame:
     return questions.groupBy("thread_key").agg(last).select("_last.*")
 
 
-def _rows_per_part(members: DataFrame, threads: Splits | None, slices: Splits | None) -> DataFrame:
+def _rows_per_part(
+    members: DataFrame, threads: Splits | None, slices: Splits | None, whole: bool
+) -> DataFrame:
     """Give every post its part and comment slice, repeating it where it stands in several.
 
+    If the parts will be put together to ``whole`` threads, nothing is repeated.
+
     A question stands in all parts of its thread and brings slice ``i`` of its comments to part
     ``i``. Of several questions with one key only the last can appear, so it is picked before
     it is repeated.
     """
     if threads is None:
         return members.withColumns({"part": F.lit(0), "slice": F.lit(0)})
+    if whole:
+        spread = F.when(is_question(), 0).otherwise(part_of(F.col("_parts"), F.col(ROW_ID)))
+        return members.withColumns({"part": spread, "slice": F.lit(0)})
 
     sized = with_parts(members, "id", slices, "_slices")
     wide_question = is_question() & F.col("n_answers").isNotNull()
@@ -86,12 +97,13 @@ def build_threads(
     key: Column | None = None,
     order: Column | None = None,
     keep_questionless: bool = False,
-    max_group: int = MAX_GROUP,
+    max_group: int | None = None,
 ) -> DataFrame:
     """Threads of the posts.
 
-    Columns: ``thread_key``, ``part`` (0 unless the thread is split), ``n_answers`` of the whole
-    thread, ``question`` and ``answers``.
+    Columns: ``thread_key``, ``part`` and ``n_parts`` (0 and 1 unless ``max_group`` asks for parts
+    and the thread has more answers and comments), ``n_answers`` of the whole thread, ``question``
+    and ``answers``.
 
     Without ``comments``, posts keep the comment lists they have, if any, and repeated posts all
     count: each copy of an answer is listed and the last question by ``order`` stands. With
@@ -99,6 +111,8 @@ def build_threads(
     question are dropped unless ``keep_questionless``. ``key`` replaces the usual thread key.
     """
     with_comments = comments is not None
+    whole_threads = max_group is None
+    max_group = MAX_GROUP if whole_threads else max_group
     if with_comments:
         posts = first_posts(posts, keep=True)
     if order is None:
@@ -131,7 +145,7 @@ def build_threads(
         heavy = store(totals.where(sizes > max_group), "heavy-threads")
         carry = ("n_answers", "n_questions")
         threads = measure(heavy, "thread_key", "weight", max_group, rows="n_posts", carry=carry)
-        if with_comments:
+        if with_comments and not whole_threads:
             slices = measure(counts, "post_id", "n_comments", max_group)
     if threads is not None:
         by_id = members.withColumn(ROW_ID, F.xxhash64("id"))
@@ -141,8 +155,8 @@ def build_threads(
             # a large group that will be dropped need not be shuffled
             members = members.where(F.coalesce(F.col("n_questions") > 0, F.lit(True)))
 
-    rows = _rows_per_part(members, threads, slices)
-    split = [] if threads is None else ["n_answers"]
+    rows = _rows_per_part(members, threads, slices, whole_threads)
+    split = [] if threads is None else ["n_answers", "_parts"]
     post = F.struct("id", "slice", post_struct(F.col("comments")).alias("post"))
     parts = rows.select(
         "thread_key",
@@ -152,7 +166,7 @@ def build_threads(
         F.when(is_question(), post).alias("q"),
         F.when(is_answer(), post).alias("a"),
     )
-    aggregates = [F.max(c).alias("total") for c in split] + [
+    aggregates = [F.max(c).alias(f"max_{c}") for c in split] + [
         F.max_by("q", "_order").alias("q"),
         ordered_list(F.col("a"), F.col("a.post.creation_date"), F.col("a.id")).alias("a"),
     ]
@@ -169,7 +183,8 @@ def build_threads(
 
     keys = ["thread_key", "part"] if split else ["thread_key"]
     grouped = group_divided((parts, keys), "part", *aggregates)
-    if not keep_questionless:
+    merging = whole_threads and threads is not None
+    if not keep_questionless and not merging:
         grouped = grouped.where(F.col("q").isNotNull())
 
     def whole(member: Column) -> Column:
@@ -180,14 +195,60 @@ def build_threads(
         scalars = [member["post"][c].alias(c) for c in POST_SCALARS]
         return F.struct(*scalars, or_empty(own, COMMENT_LIST).alias("comments"))
 
-    n_answers = F.coalesce("total", F.size("a")) if split else F.size("a")
-    return grouped.select(
+    listed = F.size("a")
+    totals_kept = split and not merging
+    built = grouped.select(
         "thread_key",
         "part",
-        n_answers.alias("n_answers"),
+        (F.coalesce("max__parts", F.lit(1)) if totals_kept else F.lit(1)).alias("n_parts"),
+        (F.coalesce("max_n_answers", listed) if totals_kept else listed).alias("n_answers"),
         F.when(F.col("q").isNotNull(), whole(F.col("q"))).alias("question"),
         (map_array("a", whole) if with_comments else F.col("a.post")).alias("answers"),
     )
+    if not merging:
+        return built
+    merged = _put_together(built)
+    return merged if keep_questionless else merged.where(F.col("question").isNotNull())
+
+
+def _put_together(parts: DataFrame) -> DataFrame:
+    """One row for each thread from parts that hold every post once."""
+    lists = F.flatten(F.collect_list("answers"))
+    grouped = parts.groupBy("thread_key").agg(
+        F.first("question", ignorenulls=True).alias("question"), lists.alias("listed")
+    )
+    # the order of ordered_list, on lists that are sorted already but for their seams
+    entries = F.transform(
+        "listed",
+        lambda post: F.struct(
+            post["creation_date"].alias("k0"), post["id"].alias("k1"), post.alias("item")
+        ),
+    )
+    return grouped.select(
+        "thread_key",
+        F.lit(0).alias("part"),
+        F.lit(1).alias("n_parts"),
+        F.size("listed").alias("n_answers"),
+        "question",
+        F.sort_array(entries)["item"].alias("answers"),
+    )
+
+
+def answers_of_questions(posts: DataFrame) -> DataFrame:
+    """Questions beside each of their answers, as structs ``question`` and ``answer``, for work on
+    threads of any size without lists. Questions without an answer are left out."""
+    kept = [c for c in posts.columns if c != ROW_ID]
+    questions = posts.where(is_question()).select(F.struct(*kept).alias("question"))
+    answers = posts.where(is_answer()).select(F.struct(*kept).alias("answer"))
+    return questions.join(answers, F.col("question.id") == F.col("answer.parent_id"))
+
+
+def comments_of_posts(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Posts beside each of their comments, as structs ``post`` and ``comment``."""
+    kept = [c for c in posts.columns if c != ROW_ID]
+    left = posts.select(F.struct(*kept).alias("post"))
+    right = comments.select(F.struct("*").alias("comment"))
+    return left.join(right, F.col("post.id") == F.col("comment.post_id"))
 
 
 def flatten_threads(threads: DataFrame) -> DataFrame:

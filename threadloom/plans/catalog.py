@@ -225,7 +225,7 @@ def a2_xml_posts_any_layout(spark, sf_dir):
     lines = A.xml_lines(A.star_posts(spark, sf_dir), "post")
     spanning = lines.select(F.replace("value", F.lit(" PostTypeId="), F.lit("\n  PostTypeId=")))
     spanning.write.option("lineSep", " ").text(path)
-    scan = sources.scan_rows(spark, path, "post", one_row_per_line=False)
+    scan = sources.scan_rows(spark, path, "post")
     return _post_view(sources.accepted(sources.type_records(scan, "post")))
 
 
@@ -257,7 +257,7 @@ def a6_xml_rejects(spark, sf_dir):
     )
     path = scratch_dir(spark, "broken-xml")
     A.source_table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
-    return sources.rejects(sources.scan_rows(spark, path, "post"))
+    return sources.rejects(sources.scan_rows(spark, path, "post", one_row_per_line=True))
 
 
 # --- columns --------------------------------------------------------------------------------
@@ -497,6 +497,70 @@ def e4_threads_with_comments(spark, sf_dir):
     return _full_thread_view(flatten_threads(threads))
 
 
+HOT = _one_line(
+    """hot AS (SELECT * REPLACE (CASE WHEN pos_type_id = '2' THEN 'c1' ELSE parent_id END AS parent_id)
+    FROM posts)"""
+)
+HOT_COMMENTS = _one_line(
+    """hot_comments AS (SELECT * REPLACE (
+      CASE WHEN text LIKE 'A %' THEN 'o1' WHEN text LIKE 'R %' THEN 'c1' ELSE post_id END AS post_id)
+    FROM comments)"""
+)
+
+
+def _hot_posts(spark, sf_dir):
+    """All answers to one question, more than a task lists at every scale but the smallest."""
+    posts = A.star_posts(spark, sf_dir)
+    return posts.withColumn(
+        "parent_id", F.when(routing.is_answer(), "c1").otherwise(F.col("parent_id"))
+    )
+
+
+def _hot_comments(spark, sf_dir):
+    """A quarter of the comments on one answer, another quarter on the question."""
+    kind = F.substring("text", 1, 2)
+    home = F.when(kind == "A ", "o1").when(kind == "R ", "c1").otherwise(F.col("post_id"))
+    return A.star_comments(spark, sf_dir).withColumn("post_id", home)
+
+
+@query(
+    "e2_nest_hot_comments",
+    """SELECT p.id, CAST(count(c.id) AS INTEGER) AS n_comments, min(c.id) AS least
+    FROM posts p LEFT JOIN hot_comments c ON c.post_id = p.id GROUP BY p.id""",
+    POSTS,
+    COMMENTS,
+    HOT_COMMENTS,
+)
+def e2_nest_hot_comments(spark, sf_dir):
+    nested = nesting.nest_comments(A.star_posts(spark, sf_dir), _hot_comments(spark, sf_dir))
+    ids = F.col("comments.id")
+    return nested.select("id", F.size(ids).alias("n_comments"), F.array_min(ids).alias("least"))
+
+
+@query(
+    "e4_hot_thread",
+    """SELECT q.id AS thread_key, CAST(count(DISTINCT a.id) AS INTEGER) AS n_answers,
+      min(a.id) AS least, CAST(count(c.id) AS INTEGER) AS answer_comments,
+      (SELECT CAST(count(*) AS INTEGER) FROM hot_comments k WHERE k.post_id = q.id)
+        AS question_comments
+    FROM hot q LEFT JOIN hot a ON a.pos_type_id = '2' AND a.parent_id = q.id
+    LEFT JOIN hot_comments c ON c.post_id = a.id WHERE q.pos_type_id = '1' GROUP BY q.id""",
+    POSTS,
+    COMMENTS,
+    HOT,
+    HOT_COMMENTS,
+)
+def e4_hot_thread(spark, sf_dir):
+    threads = build_threads(_hot_posts(spark, sf_dir), _hot_comments(spark, sf_dir))
+    return threads.select(
+        "thread_key",
+        "n_answers",
+        F.array_min("answers.id").alias("least"),
+        F.size(F.flatten("answers.comments")).alias("answer_comments"),
+        F.size("question.comments").alias("question_comments"),
+    )
+
+
 @query(
     "e5_orphan_answers",
     """SELECT a.id, a.parent_id, a.title FROM answers a

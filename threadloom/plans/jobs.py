@@ -11,14 +11,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.operators.quality import quality_counts, require_keys, routing_counts
+from threadloom.operators.quality import (
+    quality_counts,
+    require_comment_keys,
+    require_keys,
+    routing_counts,
+)
 from threadloom.operators.routing import sample_lines
-from threadloom.operators.skew import MAX_GROUP
 from threadloom.operators.threads import build_threads
-from threadloom.session import sized_shuffle, stored_bytes
+from threadloom.session import job_folder, sized_shuffle, stored_bytes
 from threadloom.sinks import write_rejects, write_table
 from threadloom.sources import (
     accepted,
+    head_counts,
+    is_rejected,
     read_lines,
     read_table,
     rejects,
@@ -48,106 +54,103 @@ def _load(
     report: Report,
     name: str,
     path: str,
-    base: str,
+    base: str | None,
     *,
-    strict: bool,
-    alias_editor: bool,
-    one_row_per_line: bool,
+    database: str | None = None,
+    strict: bool = False,
+    alias_editor: bool = False,
+    **layout,
 ) -> None:
-    """Replace one typed table; counts come from the same pass that writes it."""
-    scan = scan_rows(
-        spark,
-        path,
-        name,
-        one_row_per_line=one_row_per_line,
-        strict=strict,
-        alias_editor=alias_editor,
-    )
+    """Replace one typed table and its rejects; counts come from the same pass that writes it."""
+    scan = scan_rows(spark, path, name, strict=strict, alias_editor=alias_editor, **layout)
     typed = type_records(scan, name, strict=strict, alias_editor=alias_editor)
     seen = Observation()
     typed = typed.observe(
         seen,
-        F.count("*").alias("lines"),
-        F.count("reason").alias("rejected"),
+        F.count("*").alias("pieces"),
+        F.count_if(is_rejected()).alias("rejected"),
+        *head_counts(),
         F.count_if(F.col("reason").isNull() & (F.col("bad_values") > 0)).alias(
             "rows_with_bad_values"
         ),
     )
     rows = accepted(typed)
     routed = None
+    if strict:
+        rows = require_keys(rows) if name == "post" else require_comment_keys(rows)
     if name == "post":
-        if strict:
-            rows = require_keys(rows)
         routed = Observation()
         rows = rows.observe(routed, *routing_counts())
-    write_table(rows, name, base)
-    report.scans[name] = dict(seen.get)
+
+    def broken_heads() -> int:
+        return seen.get["heads"] - seen.get["headed_files"]
+
+    def check() -> None:
+        if strict and broken_heads():
+            raise ValueError(f"{path}: {broken_heads()} broken rows without content")
+
+    write_table(rows, name, base, database=database, check=check)
+    counts = seen.get
+    report.scans[name] = {
+        "lines": counts["pieces"] - counts["headed_files"],
+        "rejected": counts["rejected"] + broken_heads(),
+        "rows_with_bad_values": counts["rows_with_bad_values"],
+    }
     if routed is not None:
         report.quality.update(routed.get)
-    if seen.get["rejected"]:
-        write_rejects(rejects(scan), name, base)
+    # replaced by an empty table after a clean run, without another scan
+    bad = rejects(scan)
+    clean = not report.scans[name]["rejected"]
+    rejected = spark.createDataFrame([], bad.schema) if clean else bad
+    write_rejects(rejected, name, base, database=database)
 
 
 def load_posts(
-    spark: SparkSession,
-    posts_path: str,
-    base: str,
-    *,
-    strict: bool = False,
-    alias_editor: bool = False,
-    one_row_per_line: bool = True,
+    spark: SparkSession, posts_path: str, base: str | None = None, **options
 ) -> Report:
-    """Posts XML to the ``post`` table."""
+    """Posts XML to the ``post`` table.
+
+    Options of all jobs: ``database`` writes catalog tables instead of Parquet below ``base``;
+    ``strict`` fails on a bad row, value or key; ``alias_editor`` gives the editor's id as the
+    owner's display name; ``one_row_per_line``, ``root`` and ``record`` describe the files.
+    """
     report = Report()
-    _load(
-        spark,
-        report,
-        "post",
-        posts_path,
-        base,
-        strict=strict,
-        alias_editor=alias_editor,
-        one_row_per_line=one_row_per_line,
-    )
+    with job_folder(spark):
+        _load(spark, report, "post", posts_path, base, **options)
     return report
 
 
 def load_both(
-    spark: SparkSession,
-    posts_path: str,
-    comments_path: str,
-    base: str,
-    *,
-    strict: bool = False,
-    alias_editor: bool = False,
-    one_row_per_line: bool = True,
+    spark: SparkSession, posts_path: str, comments_path: str, base: str | None = None, **options
 ) -> Report:
     """Posts and comments XML to the ``post`` and ``comment`` tables."""
-    options = {
-        "strict": strict, "alias_editor": alias_editor, "one_row_per_line": one_row_per_line
-    }
     report = load_posts(spark, posts_path, base, **options)
-    _load(spark, report, "comment", comments_path, base, **options)
+    with job_folder(spark):
+        _load(spark, report, "comment", comments_path, base, **options)
     return report
 
 
 def _write_threads(
     spark: SparkSession,
     report: Report,
-    base: str,
+    base: str | None,
     *,
     with_comments: bool,
     count_quality: bool,
-    max_group: int,
+    max_group: int | None,
+    database: str | None = None,
 ) -> None:
-    posts = read_table(spark, base, "post")
-    comments = read_table(spark, base, "comment")
-    stored = stored_bytes(spark, f"{base}/post", f"{base}/comment")
-    with sized_shuffle(spark, SHUFFLE_EXPANSION * stored):
+    posts = read_table(spark, base, "post", database=database)
+    comments = read_table(spark, base, "comment", database=database)
+    # only what is shuffled counts; a catalog table's files are not listed
+    shuffled = [f"{base}/post", *([f"{base}/comment"] if with_comments else [])]
+    stored = 0 if database else stored_bytes(spark, *shuffled)
+    with job_folder(spark), sized_shuffle(spark, SHUFFLE_EXPANSION * stored):
         threads = build_threads(
             posts.drop("comments"), comments if with_comments else None, max_group=max_group
         )
-        write_table(threads, "thread", base)
+        kind = "thread" if max_group is None else "thread_part"
+        write_table(threads, kind, base, database=database, table="thread")
         if count_quality:
             counts = quality_counts(posts, comments, dedupe=with_comments)
             # one row per channel, a fixed handful
@@ -158,16 +161,26 @@ def threads_without_comments(
     spark: SparkSession,
     posts_path: str,
     comments_path: str,
-    base: str,
+    base: str | None = None,
     *,
     count_quality: bool = True,
-    max_group: int = MAX_GROUP,
-    **load_options: bool,
+    max_group: int | None = None,
+    **options,
 ) -> Report:
-    """Load both tables, then replace ``thread``; every post counts and comments stay empty."""
-    report = load_both(spark, posts_path, comments_path, base, **load_options)
+    """Load both tables, then replace ``thread``; every post counts and comments stay empty.
+
+    A thread is one row. With ``max_group``, larger ones come in parts, and all rows of the table
+    have ``thread_key``, ``part`` and ``n_parts`` in front.
+    """
+    report = load_both(spark, posts_path, comments_path, base, **options)
     _write_threads(
-        spark, report, base, with_comments=False, count_quality=count_quality, max_group=max_group
+        spark,
+        report,
+        base,
+        with_comments=False,
+        count_quality=count_quality,
+        max_group=max_group,
+        database=options.get("database"),
     )
     return report
 
@@ -176,15 +189,22 @@ def threads_with_comments(
     spark: SparkSession,
     posts_path: str,
     comments_path: str,
-    base: str,
+    base: str | None = None,
     *,
     count_quality: bool = True,
-    max_group: int = MAX_GROUP,
-    **load_options: bool,
+    max_group: int | None = None,
+    **options,
 ) -> Report:
-    """Load both tables, then replace ``thread`` with threads that carry their comments."""
-    report = load_both(spark, posts_path, comments_path, base, **load_options)
+    """Load both tables, then replace ``thread`` with threads that carry their comments; see
+    :func:`threads_without_comments`."""
+    report = load_both(spark, posts_path, comments_path, base, **options)
     _write_threads(
-        spark, report, base, with_comments=True, count_quality=count_quality, max_group=max_group
+        spark,
+        report,
+        base,
+        with_comments=True,
+        count_quality=count_quality,
+        max_group=max_group,
+        database=options.get("database"),
     )
     return report

@@ -59,6 +59,15 @@ POST_LIST = T.ArrayType(POST_SCHEMA, True)
 THREAD_SCHEMA = T.StructType(
     [T.StructField("question", POST_SCHEMA, False), T.StructField("answers", POST_LIST, True)]
 )
+# A thread in parts, for callers that want no row of unbounded size.
+THREAD_PART_SCHEMA = T.StructType(
+    [
+        T.StructField("thread_key", T.StringType(), False),
+        T.StructField("part", T.IntegerType(), False),
+        T.StructField("n_parts", T.IntegerType(), False),
+        *THREAD_SCHEMA.fields,
+    ]
+)
 
 POST_COLUMNS = tuple(POST_SCHEMA.names)
 POST_SCALARS = tuple(name for name, _, _ in POST_FIELDS)
@@ -86,6 +95,7 @@ ENTITIES = {
     "post": Entity("post", POST_SCHEMA, POST_FIELDS),
     "comment": Entity("comment", COMMENT_SCHEMA, COMMENT_FIELDS),
     "thread": Entity("thread", THREAD_SCHEMA),
+    "thread_part": Entity("thread_part", THREAD_PART_SCHEMA),
 }
 
 

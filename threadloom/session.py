@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# A reducer sorts and exchanges with spilling, so it may be large; a driver can hold the block
+# lists of so many reducers. Both change the plan only.
+SHUFFLE_PARTITION_BYTES = 1024**3
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 # Wall-clock times never depend on the session zone, which is pinned anyway; adaptive execution
 # merges small shuffle partitions and splits skewed join partitions.
@@ -34,18 +37,40 @@ def session(app: str = "threadloom", master: str | None = None, **extra: str) ->
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new directory name in the shared folder the cluster names in ``spark.checkpoint.dir``.
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
-    Without that setting a local session gets a temporary folder; a cluster is refused, because
-    its executors do not share one.
-    """
+
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; without one, a folder in the
+    warehouse, which a session's machines share too."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="threadloom-")
-    return f"{shared.rstrip('/')}/threadloom/{label}-{uuid.uuid4().hex}"
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/threadloom"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new directory name for intermediate tables, in the job's folder if a job is running."""
+    return f"{_job_folder.get() or _shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession):
+    """Put the enclosed work's intermediate tables into one folder and remove it at the end."""
+    folder = f"{_shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _job_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _job_folder.reset(token)
+        system, path = file_system(spark, folder)
+        system.delete(path, True)
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The store a path is in, and the path, for renaming and removing; reads and writes of data
+    go through DataFrames."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
@@ -56,14 +81,15 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
 
 @contextmanager
 def sized_shuffle(spark: SparkSession, nbytes: int):
-    """Raise the number of shuffle partitions, for the enclosed actions, to fit the data.
+    """Raise the number of shuffle partitions, for the enclosed actions, to fit the data, up to
+    :data:`MAX_SHUFFLE_PARTITIONS`.
 
     Never lowers the session's own number: adaptive execution merges partitions that turn out
     small, but cannot split a plain aggregation's.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    wanted = -(-nbytes // SHUFFLE_PARTITION_BYTES)
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-nbytes // SHUFFLE_PARTITION_BYTES))
     spark.conf.set(key, str(max(int(before), wanted)))
     try:
         yield

@@ -4,6 +4,8 @@ from threadloom.sources.tables import read_table, with_row_id
 from threadloom.sources.text import read_lines
 from threadloom.sources.xml import (
     accepted,
+    head_counts,
+    is_rejected,
     rejects,
     scan_rows,
     type_records,
@@ -11,6 +13,8 @@ from threadloom.sources.xml import (
 
 __all__ = [
     "accepted",
+    "head_counts",
+    "is_rejected",
     "read_lines",
     "read_table",
     "rejects",

@@ -13,6 +13,16 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Read table ``name`` below ``base``."""
-    return spark.read.schema(entity(name).schema).parquet(f"{base.rstrip('/')}/{name}")
+def read_table(
+    spark: SparkSession,
+    base: str | None,
+    name: str,
+    *,
+    database: str | None = None,
+    table: str | None = None,
+) -> DataFrame:
+    """Read a table of entity ``name`` below ``base``, or from the catalog's ``database``."""
+    if database is not None:
+        return spark.table(f"{database}.{table or name}")
+    path = f"{base.rstrip('/')}/{table or name}"
+    return spark.read.schema(entity(name).schema).parquet(path)

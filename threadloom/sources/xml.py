@@ -1,10 +1,13 @@
 """XML record scan: ``<row .../>`` elements whose attributes are the fields.
 
-The dumps hold one row per line, so the scan splits a file by lines and parses each line on its
-own; the built-in XML file reader would give a whole file to one task. A parser given text that
-is not exactly one row can return part of it without complaint, so its shape is checked first:
-a raw ``<`` cannot occur inside an attribute, hence a pattern decides. For the same reason files
-of another layout can be split at ``<row`` instead of at line breaks.
+The scan splits a file at ``<row`` and parses each piece on its own, so several tasks share a file
+and its layout does not matter; the built-in XML file reader would give a whole file to one task.
+A parser given text that is not exactly one row can return part of it without complaint, so its
+shape is checked first: a raw ``<`` cannot occur inside an attribute, hence a pattern decides.
+Files known to hold one row per line can be split at line breaks instead.
+
+The text before a file's first ``<row`` is its head. It is legal once per file; a further piece
+that looks like one is what is left of a broken row, and counts as rejected.
 
 Attributes are read as text and converted afterwards: typed attributes would let one bad value
 fail the whole scan.
@@ -23,16 +26,25 @@ from threadloom.functions import empty_array, parse_iso, to_bigint, to_int
 from threadloom.schemas import COMMENT_LIST, entity
 from threadloom.sources.text import read_lines
 
-# Fixed patterns: text that is one whole row, and text to pass over in silence.
-ROW_LINE = r"^\s*<row(\s[^<]*)?(/>|></row>)\s*$"
-WRAPPER_LINE = r"^\uFEFF?\s*(<\?xml[^<]*\?>|</?(posts|comments)>)?\s*$"
-# The same for text between two ``<row``, where the wrapper's tags stand around the rows.
-HEAD = r"^\uFEFF?\s*(<\?xml[^<]*\?>)?\s*(<(posts|comments)>)?\s*$"
-TAIL = r"\s*</(posts|comments)>\s*$"
+# The dumps' own names: the elements around the rows, and the rows.
+ROOTS = "posts|comments"
+RECORD = "row"
+
+
+def _patterns(root: str, record: str) -> dict[str, str]:
+    """Text that is one whole row; lines around rows; the same for text between two ``<row``."""
+    xml = r"<\?xml[^<]*\?>"
+    return {
+        "row": rf"^\s*<{record}(\s[^<]*)?(/>|></{record}>)\s*$",
+        "wrapper": rf"^\uFEFF?\s*({xml}|</?(?:{root})(\s[^<>]*)?>)?\s*$",
+        "head": rf"^\uFEFF?\s*({xml})?\s*(<(?:{root})(\s[^<>]*)?>)?\s*$",
+        "root": rf"^<(?:{root})(\s[^<>]*)?>\s*$",
+        "tail": rf"\s*</(?:{root})>\s*$",
+    }
+
 
 CORRUPT = "_corrupt_record"
 XML_OPTIONS = {
-    "rowTag": "row",
     "attributePrefix": "",
     "ignoreSurroundingSpaces": "false",
     "columnNameOfCorruptRecord": CORRUPT,
@@ -53,14 +65,20 @@ def _bindings(name: str, alias_editor: bool) -> list[tuple[str, str]]:
     ]
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return read_lines(spark, path).where(~F.col("value").rlike(WRAPPER_LINE))
+def _lines(spark: SparkSession, path: str, patterns: dict[str, str]) -> DataFrame:
+    lines = read_lines(spark, path).where(~F.col("value").rlike(patterns["wrapper"]))
+    return lines.select("value", F.lit(False).alias("is_head"), F.lit("").alias("file"))
 
 
-def _elements(spark: SparkSession, path: str) -> DataFrame:
-    between = read_lines(spark, path, separator="<row").where(~F.col("value").rlike(HEAD))
-    element = F.concat(F.lit("<row"), F.regexp_replace("value", TAIL, ""))
-    return between.select(element.alias("value"))
+def _elements(spark: SparkSession, path: str, patterns: dict[str, str], record: str) -> DataFrame:
+    between = read_lines(spark, path, separator=f"<{record}")
+    is_head = F.col("value").rlike(patterns["head"])
+    element = F.concat(F.lit(f"<{record}"), F.regexp_replace("value", patterns["tail"], ""))
+    pieces = between.select(
+        element.alias("value"), is_head.alias("is_head"), F.col("_metadata.file_path").alias("file")
+    )
+    # a root whose name begins like a row's
+    return pieces.where(~F.col("value").rlike(patterns["root"]))
 
 
 def scan_rows(
@@ -68,37 +86,70 @@ def scan_rows(
     path: str,
     name: str,
     *,
-    one_row_per_line: bool = True,
+    one_row_per_line: bool = False,
+    root: str = ROOTS,
+    record: str = RECORD,
     strict: bool = False,
     alias_editor: bool = False,
 ) -> DataFrame:
     """Scan XML files of posts or comments.
 
-    Returns ``line``, ``reason`` (null for a good row, else ``layout`` or ``corrupt``) and
-    ``record``, a struct of attribute texts. Wrapper tags and blank lines are left out. Unless
-    ``one_row_per_line``, several rows may share a line and a row may span lines. With
-    ``strict`` a bad line fails the scan.
+    Returns ``line``, ``reason`` (null for a good row, else ``layout``, ``corrupt`` or ``head``),
+    ``file`` and ``record``, a struct of attribute texts. A ``head`` is no row: one of each file is
+    legal, see :func:`rejects`. Several rows may share a line and a row may span lines, unless
+    ``one_row_per_line``. ``root`` and ``record`` name the elements. With ``strict`` a bad row
+    fails the scan.
     """
-    value = F.col("value")
-    lines = _lines(spark, path) if one_row_per_line else _elements(spark, path)
-    is_row = value.rlike(ROW_LINE)
+    value, patterns = F.col("value"), _patterns(root, record)
+    if one_row_per_line:
+        lines = _lines(spark, path, patterns)
+    else:
+        lines = _elements(spark, path, patterns, record)
+    is_row = value.rlike(patterns["row"])
     bad_line = F.raise_error(F.concat(F.lit("not one XML row: "), value)) if strict else F.lit(None)
-    options = {**XML_OPTIONS, "mode": "FAILFAST" if strict else "PERMISSIVE"}
+    options = {**XML_OPTIONS, "rowTag": record, "mode": "FAILFAST" if strict else "PERMISSIVE"}
     schema = _attribute_schema(name, alias_editor)
-    parsed = F.from_xml(F.when(is_row, value).otherwise(bad_line.cast("string")), schema, options)
+    text = F.when(is_row, value).when(~F.col("is_head"), bad_line.cast("string"))
+    parsed = F.from_xml(text, schema, options)
     # stack() keeps the parser to one call per line: a filter on its result stays above it
     once = lines.select(
-        value.alias("line"), is_row.alias("is_row"), F.stack(F.lit(1), parsed).alias("record")
+        value.alias("line"),
+        "file",
+        "is_head",
+        is_row.alias("is_row"),
+        F.stack(F.lit(1), parsed).alias("record"),
     )
-    reason = F.when(~F.col("is_row"), "layout").when(
-        F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull(), "corrupt"
+    reason = (
+        F.when(F.col("is_head"), "head")
+        .when(~F.col("is_row"), "layout")
+        .when(F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull(), "corrupt")
     )
-    return once.select("line", reason.alias("reason"), "record")
+    return once.select("line", reason.alias("reason"), "file", "record")
+
+
+def is_rejected() -> Column:
+    return F.col("reason").isin("layout", "corrupt")
+
+
+def head_counts() -> list[Column]:
+    """For ``DataFrame.observe`` on a scan: heads, and files that have one."""
+    is_head = F.col("reason") == "head"
+    files = F.collect_set(F.when(is_head, F.col("file")))
+    return [F.count_if(is_head).alias("heads"), F.size(files).alias("headed_files")]
 
 
 def rejects(scan: DataFrame) -> DataFrame:
-    """The lines of a scan that are not good rows, with the reason."""
-    return scan.where(F.col("reason").isNotNull()).select("line", "reason")
+    """The lines of a scan that are not good rows, with the reason; of the heads of one file, all
+    but one."""
+    bad = scan.where(is_rejected()).select("line", "reason")
+    heads = scan.where("reason = 'head'").groupBy("file").agg(
+        F.min("line").alias("line"), (F.count("*") - 1).cast("int").alias("extra")
+    )
+    broken = heads.where("extra > 0").select(
+        F.explode(F.array_repeat(F.regexp_replace("line", r"\s+$", ""), F.col("extra"))).alias("line"),
+        F.lit("layout").alias("reason"),
+    )
+    return bad.unionByName(broken)
 
 
 def _convert(text: Column, dtype: T.DataType, strict: bool) -> Column:
@@ -117,7 +168,7 @@ def type_records(
     """Convert a scan's attribute texts to the entity's columns.
 
     Adds ``bad_values``, the number of texts that could not be converted and became null, and
-    keeps ``reason``.
+    keeps ``reason`` and ``file``.
     """
     types = {column: dtype for column, _, dtype in entity(name).fields}
     texts, columns = [], []
@@ -127,7 +178,7 @@ def type_records(
         columns.append(_convert(text, types[column], strict).alias(column))
     if name == "post":
         columns.append(empty_array(COMMENT_LIST).alias("comments"))
-    typed = scan.select("reason", "record", *columns)
+    typed = scan.select("reason", "file", "record", *columns)
     lost = [
         (text.isNotNull() & F.col(column).isNull()).cast("int")
         for text, column in texts
@@ -139,4 +190,4 @@ def type_records(
 
 def accepted(typed: DataFrame) -> DataFrame:
     """The good rows of typed records, without the bookkeeping columns."""
-    return typed.where(F.col("reason").isNull()).drop("reason", "bad_values")
+    return typed.where(F.col("reason").isNull()).drop("reason", "file", "bad_values")
