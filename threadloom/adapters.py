@@ -1,7 +1,7 @@
 """Question-and-answer archives derived from the generic test tables.
 
 ``star``: customers ask, orders answer them, suppliers are posts of another type and line items
-are comments on the orders. Some customers are of another type and some orders go by another
+are comments on the orders, some on customers. Some customers are of another type and some orders go by another
 name, on both ends, so that answers and comments without their post occur, and threads without
 answers. ``conversation``: a conversation is a thread whose user turns are
 questions, so most threads have several. Stacked posts keep the row numbers of their files.
@@ -35,6 +35,11 @@ def _prefixed(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
+def _day_after_2000(column: str) -> Column:
+    start = F.lit("2000-01-01").cast("date")
+    return F.date_add(start, F.col(column).cast("int") % 9000).cast("timestamp_ntz")
+
+
 def star_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = _as_posts(
         source_table(spark, sf_dir, "customer"),
@@ -43,6 +48,13 @@ def star_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         title=F.col("c_name"),
         tags=F.concat(F.lit("<"), F.col("c_mktsegment"), F.lit(">")),
         view_count=F.col("c_nationkey"),
+        accepted_answer_id=_prefixed("o", "c_custkey"),
+        owner_display_name=F.concat(F.lit("owner "), F.col("c_mktsegment")),
+        answer_count=F.col("c_custkey") % 11,
+        comment_count=F.col("c_custkey") % 13,
+        favorite_count=F.col("c_custkey") % 17,
+        closed_date=F.when(F.col("c_custkey") % 3 == 0, _day_after_2000("c_custkey")),
+        community_owned_date=F.when(F.col("c_custkey") % 4 == 0, _day_after_2000("c_nationkey")),
     )
     renamed = F.col("o_custkey") % 5 == 0
     answers = _as_posts(
@@ -56,6 +68,10 @@ def star_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         body=F.concat(F.lit("<p>"), F.col("o_orderstatus"), F.lit("</p>\n")),
         owner_user_id=F.col("o_custkey"),
         last_editor_user_id=F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")),
+        last_editor_display_name=F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")),
+        last_edit_date=F.when(F.col("o_orderkey") % 3 == 0, _day_after_2000("o_custkey")),
+        last_activity_date=F.col("o_orderdate"),
+        deletion_date=F.when(F.col("o_orderkey") % 5 == 0, _day_after_2000("o_custkey")),
     )
     other = _as_posts(
         source_table(spark, sf_dir, "supplier"),
@@ -85,11 +101,13 @@ def star_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(
             "-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")]
         ).alias("id"),
-        _prefixed("o", "l_orderkey").alias("post_id"),
+        F.when(F.col("l_linenumber") == 7, _prefixed("c", "l_suppkey"))
+        .otherwise(_prefixed("o", "l_orderkey"))
+        .alias("post_id"),
         F.col("l_linenumber").cast("bigint").alias("score"),
         F.concat("l_returnflag", F.lit(" & "), "l_linestatus").alias("text"),
         F.col("l_shipdate").alias("creation_date"),
-        F.lit(None).cast("string").alias("user_display_name"),
+        F.concat(F.lit("user "), F.col("l_linestatus")).alias("user_display_name"),
         F.col("l_suppkey").cast("string").alias("user_id"),
     )
 

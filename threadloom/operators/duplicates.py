@@ -21,29 +21,38 @@ def repeated_ids(posts: DataFrame, key: str = "id") -> DataFrame:
     return counts.where("n_posts > 1")
 
 
-def first_posts(posts: DataFrame, order: Column | None = None, *, keep: bool = False) -> DataFrame:
+def first_posts(
+    posts: DataFrame,
+    order: Column | None = None,
+    *,
+    keep: bool = False,
+    columns: list[str] | None = None,
+) -> DataFrame:
     """One post per id, the first by ``order``; posts without an id are left out.
 
     Ids are counted first, from their column alone. Without repeats, the usual case, the posts
     pass through unshuffled. A few repeated ids are broadcast, so that only their posts are
     shuffled; beyond that all posts are reduced in one shuffle. The reduction keeps one row per id
-    and task before it shuffles. With ``keep``, a reduced result is stored for repeated use.
+    and task before it shuffles. ``columns`` are the ones wanted, all by default; no other is
+    shuffled. With ``keep``, what was reduced is stored for repeated use: the few copies, or all
+    posts if many ids repeat.
     """
+    wanted = columns or posts.columns
     present = posts.where(F.col("id").isNotNull())
     repeated = bounded(repeated_ids(posts).select(F.col("id").alias("_repeated")))
     if repeated.n == 0:
-        return present
+        return present.select(*wanted)
     rank = post_order(posts) if order is None else order
-    first = F.min_by(F.struct(*posts.columns), rank).alias("_first")
 
     def reduce_copies(df: DataFrame) -> DataFrame:
-        return df.groupBy("id").agg(first).select("_first.*")
-
-    if repeated.small:
-        match = present["id"] == repeated.table["_repeated"]
-        copies = present.join(repeated.table, match, "left_semi")
-        once = present.join(repeated.table, match, "left_anti")
-        result = once.unionByName(reduce_copies(copies))
-    else:
-        result = reduce_copies(present)
-    return store(result, "first-posts") if keep else result
+        ranked = df.select("id", F.struct(*wanted).alias("_post"), rank.alias("_rank"))
+        first = F.min_by("_post", "_rank").alias("_first")
+        reduced = ranked.groupBy("id").agg(first).select("_first.*")
+        return store(reduced, "first-posts") if keep else reduced
+
+    if not repeated.small:
+        return reduce_copies(present)
+    match = present["id"] == repeated.table["_repeated"]
+    copies = present.join(repeated.table, match, "left_semi")
+    once = present.join(repeated.table, match, "left_anti")
+    return once.select(*wanted).unionByName(reduce_copies(copies))

@@ -80,7 +80,9 @@ def quality_counts(
 ) -> DataFrame:
     """All channels counted: columns ``channel`` and ``n``. ``dedupe`` counts threads after the
     first post of each id was chosen, as the job with comments does."""
-    threaded = first_posts(posts) if dedupe else posts
+    keys = ["id", "pos_type_id", "parent_id"]
+    # kept, since two channels use it
+    threaded = first_posts(posts, columns=keys, keep=True) if dedupe else posts
     channels = {
         "duplicate_post": repeated_ids(posts),
         "multi_question": multi_question_keys(threaded),

@@ -53,22 +53,38 @@ def query(name: str, oracle: str, *ctes: str) -> Callable[[Query], Query]:
 
 # --- the adapters of threadloom.adapters, in SQL ------------------------------------------------
 
-POSTS_SELECT = """
+def _day_sql(column: str) -> str:
+    return f"(DATE '2000-01-01' + CAST({column} % 9000 AS INTEGER))::TIMESTAMP"
+
+
+POSTS_SELECT = f"""
   SELECT 'c' || c_custkey AS id, CASE WHEN c_custkey % 7 = 0 THEN '4' ELSE '1' END AS pos_type_id,
     CAST(NULL AS VARCHAR) AS parent_id, CAST(NULL AS TIMESTAMP) AS creation_date,
     CAST(NULL AS INTEGER) AS score, c_nationkey AS view_count, CAST(NULL AS VARCHAR) AS body,
     CAST(NULL AS VARCHAR) AS owner_user_id, CAST(NULL AS VARCHAR) AS last_editor_user_id,
-    c_name AS title, '<' || c_mktsegment || '>' AS tags
+    c_name AS title, '<' || c_mktsegment || '>' AS tags,
+    'o' || c_custkey AS accepted_answer_id, 'owner ' || c_mktsegment AS owner_display_name,
+    CAST(c_custkey % 11 AS INTEGER) AS answer_count,
+    CAST(c_custkey % 13 AS INTEGER) AS comment_count,
+    CAST(c_custkey % 17 AS INTEGER) AS favorite_count,
+    CASE WHEN c_custkey % 3 = 0 THEN {_day_sql('c_custkey')} END AS closed_date,
+    CASE WHEN c_custkey % 4 = 0 THEN {_day_sql('c_nationkey')} END AS community_owned_date,
+    CAST(NULL AS VARCHAR) AS last_editor_display_name, CAST(NULL AS TIMESTAMP) AS last_edit_date,
+    CAST(NULL AS TIMESTAMP) AS last_activity_date, CAST(NULL AS TIMESTAMP) AS deletion_date
   FROM customer
   UNION ALL
   SELECT CASE WHEN o_custkey % 5 = 0 THEN 'x' ELSE 'o' END || o_orderkey, '2',
     CASE WHEN o_custkey % 5 = 0 THEN 'n' ELSE 'c' END || o_custkey, o_orderdate,
     CAST(floor(o_totalprice / 1000) AS INTEGER), NULL, '<p>' || o_orderstatus || '</p>' || chr(10),
     CAST(o_custkey AS VARCHAR), CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END,
-    o_orderpriority, NULL
+    o_orderpriority, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END,
+    CASE WHEN o_orderkey % 3 = 0 THEN {_day_sql('o_custkey')} END, o_orderdate,
+    CASE WHEN o_orderkey % 5 = 0 THEN {_day_sql('o_custkey')} END
   FROM orders
   UNION ALL
-  SELECT 's' || s_suppkey, '5', NULL, NULL, NULL, NULL, NULL, NULL, NULL, s_name, NULL
+  SELECT 's' || s_suppkey, '5', NULL, NULL, NULL, NULL, NULL, NULL, NULL, s_name, NULL, NULL, NULL,
+    NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
   FROM supplier"""
 COPIES_SELECT = """
   SELECT * FROM posts
@@ -85,7 +101,8 @@ POSTS = _one_line(f"posts AS ({POSTS_SELECT})")
 COPIES = _one_line(f"copies AS ({COPIES_SELECT})")
 COMMENTS = _one_line(
     """comments AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id,
-    'o' || l_orderkey AS post_id, CAST(l_linenumber AS BIGINT) AS score,
+    CASE l_linenumber WHEN 7 THEN 'c' || l_suppkey ELSE 'o' || l_orderkey END AS post_id,
+    CAST(l_linenumber AS BIGINT) AS score, 'user ' || l_linestatus AS user_display_name,
     l_returnflag || ' & ' || l_linestatus AS text, l_shipdate AS creation_date,
     CAST(l_suppkey AS VARCHAR) AS user_id FROM lineitem)"""
 )
@@ -110,11 +127,21 @@ def _hash_sql(column: str) -> str:
     return f"CASE WHEN {folded} >= 2147483648 THEN {folded} - 4294967296 ELSE {folded} END"
 
 
+OTHER_DATES = (
+    "closed_date",
+    "community_owned_date",
+    "last_edit_date",
+    "last_activity_date",
+    "deletion_date",
+)
+
 # Rows shown by the queries about whole posts and comments.
 POST_VIEW = f"""id, pos_type_id, parent_id, {_iso_sql('creation_date')} AS creation_date, score,
-  view_count, body, owner_user_id, last_editor_user_id, title, tags"""
+  view_count, body, owner_user_id, last_editor_user_id, title, tags, accepted_answer_id,
+  owner_display_name, answer_count, comment_count, favorite_count, last_editor_display_name,
+  {", ".join(f"{_iso_sql(c)} AS {c}" for c in OTHER_DATES)}"""
 COMMENT_VIEW = f"""id, post_id, score, text, {_iso_sql('creation_date')} AS creation_date,
-  user_id"""
+  user_id, user_display_name"""
 
 
 def _post_view(posts: DataFrame, *more: Column) -> DataFrame:
@@ -130,20 +157,29 @@ def _post_view(posts: DataFrame, *more: Column) -> DataFrame:
         "last_editor_user_id",
         "title",
         "tags",
+        "accepted_answer_id",
+        "owner_display_name",
+        "answer_count",
+        "comment_count",
+        "favorite_count",
+        "last_editor_display_name",
+        *[format_iso(c).alias(c) for c in OTHER_DATES],
         *more,
     )
 
 
 def _comment_view(comments: DataFrame) -> DataFrame:
     date = format_iso("creation_date").alias("creation_date")
-    return comments.select("id", "post_id", "score", "text", date, "user_id")
+    return comments.select("id", "post_id", "score", "text", date, "user_id", "user_display_name")
 
 
 THREAD_VIEW = """SELECT q.id AS question_id, q.title AS question_title, a.id AS answer_id,
   a.title AS answer_title FROM questions q LEFT JOIN answers a ON a.parent_id = q.id"""
 FULL_THREAD_VIEW = """SELECT q.id AS question_id, a.id AS answer_id, a.score AS answer_score,
   c.id AS comment_id, c.text AS comment_text FROM questions q
-  LEFT JOIN answers a ON a.parent_id = q.id LEFT JOIN comments c ON c.post_id = a.id"""
+  LEFT JOIN answers a ON a.parent_id = q.id LEFT JOIN comments c ON c.post_id = a.id
+  UNION ALL SELECT q.id, NULL, NULL, c.id, c.text FROM questions q
+  JOIN comments c ON c.post_id = q.id"""
 
 
 def _thread_view(flat: DataFrame) -> DataFrame:
@@ -155,13 +191,21 @@ def _thread_view(flat: DataFrame) -> DataFrame:
     )
 
 
-def _full_thread_view(flat: DataFrame) -> DataFrame:
-    return flat.select(
+def _full_thread_view(threads: DataFrame) -> DataFrame:
+    """A row for each answer's comments, and one for each of the question's."""
+    answers = flatten_threads(threads).select(
         F.col("question.id").alias("question_id"),
         F.col("answer.id").alias("answer_id"),
         F.col("answer.score").alias("answer_score"),
         F.explode_outer("answer.comments").alias("comment"),
-    ).select(
+    )
+    asked = threads.where("part = 0").select(
+        F.col("question.id").alias("question_id"),
+        F.lit(None).cast("string").alias("answer_id"),
+        F.lit(None).cast("int").alias("answer_score"),
+        F.explode("question.comments").alias("comment"),
+    )
+    return answers.unionByName(asked).select(
         "question_id",
         "answer_id",
         "answer_score",
@@ -170,6 +214,18 @@ def _full_thread_view(flat: DataFrame) -> DataFrame:
     )
 
 
+def _stored(spark: SparkSession, base: str) -> DataFrame:
+    """A stored thread table with the columns that ``build_threads`` gave it."""
+    rows = sources.read_table(spark, base, "thread")
+    return rows.select(
+        F.col("question.id").alias("thread_key"),
+        F.lit(0).alias("part"),
+        F.size("answers").alias("n_answers"),
+        "question",
+        "answers",
+    )
+
+
 def _stored_flat(spark: SparkSession, base: str) -> DataFrame:
     """A stored thread table flattened as ``flatten_threads`` does, whether or not a thread
     comes as several rows: it is without answers only if all its rows are."""
@@ -494,7 +550,7 @@ def e4_threads(spark, sf_dir):
 )
 def e4_threads_with_comments(spark, sf_dir):
     threads = build_threads(A.star_posts(spark, sf_dir), A.star_comments(spark, sf_dir))
-    return _full_thread_view(flatten_threads(threads))
+    return _full_thread_view(threads)
 
 
 HOT = _one_line(
@@ -738,8 +794,8 @@ def g_quality_counts(spark, sf_dir):
 @query("h1_write_read_back", f"SELECT {COMMENT_VIEW} FROM comments", COMMENTS)
 def h1_write_read_back(spark, sf_dir):
     base = scratch_dir(spark, "tables")
-    sinks.write_table(A.star_comments(spark, sf_dir), "comment", base)
-    return _comment_view(sources.read_table(spark, base, "comment"))
+    sinks.write_table(A.star_comments(spark, sf_dir), "comment", base, table="remarks")
+    return _comment_view(sources.read_table(spark, base, "comment", table="remarks"))
 
 
 @query("h2_post_table", f"SELECT {POST_VIEW} FROM posts", POSTS)
@@ -850,6 +906,6 @@ def i3_threads(spark, sf_dir):
 def i4_threads_with_comments(spark, sf_dir):
     base = scratch_dir(spark, "tables")
     plans.threads_with_comments(
-        spark, _posts_xml(spark, sf_dir), _comments_xml(spark, sf_dir), base, count_quality=False
+        spark, _posts_xml(spark, sf_dir), _comments_xml(spark, sf_dir), base
     )
-    return _full_thread_view(_stored_flat(spark, base))
+    return _full_thread_view(_stored(spark, base))
