@@ -42,17 +42,17 @@ def test_hash_in_spark_and_sampling(spark):
 @pytest.mark.parametrize(
     "text, want",
     [
-        ("2009-03-26T18:04:36.063", dt.datetime(2009, 3, 26, 18, 4, 36, 63000)),
-        ("2009-03-26T18:04:36.063Z", dt.datetime(2009, 3, 26, 18, 4, 36, 63000)),
-        ("2009-03-26T18:04:36", dt.datetime(2009, 3, 26, 18, 4, 36)),
-        ("2009-03-26T18:04", dt.datetime(2009, 3, 26, 18, 4)),
-        ("2009-03-26T18:04Z", dt.datetime(2009, 3, 26, 18, 4)),
-        ("2009-03-26T18:04:36+02:00", None),
-        ("2009-03-26 18:04:36", None),
-        ("2009-03-26", None),
-        ("2009-02-30T18:04:36", None),
-        ("2009-03-26T25:04:36", None),
-        ("2009-03-26T18:04:36ZZ", None),
+        ("2014-07-19T21:08:47.063", dt.datetime(2014, 7, 19, 21, 8, 47, 63000)),
+        ("2014-07-19T21:08:47.063Z", dt.datetime(2014, 7, 19, 21, 8, 47, 63000)),
+        ("2014-07-19T21:08:47", dt.datetime(2014, 7, 19, 21, 8, 47)),
+        ("2014-07-19T21:08", dt.datetime(2014, 7, 19, 21, 8)),
+        ("2014-07-19T21:08Z", dt.datetime(2014, 7, 19, 21, 8)),
+        ("2014-07-19T21:08:47+02:00", None),
+        ("2014-07-19 21:08:47", None),
+        ("2014-07-19", None),
+        ("2014-02-30T21:08:47", None),
+        ("2014-07-19T25:08:47", None),
+        ("2014-07-19T21:08:47ZZ", None),
         ("", None),
         (None, None),
     ],
@@ -69,10 +69,10 @@ def test_parse_iso(spark, text, want):
 
 def test_format_iso(spark):
     cases = {
-        dt.datetime(2009, 3, 26, 18, 4, 36, 63000): "2009-03-26T18:04:36.063",
-        dt.datetime(2009, 3, 26, 18, 4, 36, 440000): "2009-03-26T18:04:36.44",
-        dt.datetime(2009, 3, 26, 18, 4, 0, 1): "2009-03-26T18:04:00.000001",
-        dt.datetime(2009, 3, 26, 18, 0, 0): "2009-03-26T18:00:00",
+        dt.datetime(2014, 7, 19, 21, 8, 47, 63000): "2014-07-19T21:08:47.063",
+        dt.datetime(2014, 7, 19, 21, 8, 47, 440000): "2014-07-19T21:08:47.44",
+        dt.datetime(2014, 7, 19, 21, 8, 0, 1): "2014-07-19T21:08:00.000001",
+        dt.datetime(2014, 7, 19, 18, 0, 0): "2014-07-19T18:00:00",
         None: None,
     }
     df = spark.createDataFrame([(k,) for k in cases], "t timestamp_ntz")
