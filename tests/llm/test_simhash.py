@@ -86,6 +86,10 @@ def test_bit_slices_match_popcounts(radius):
     assert not bits[:, n:].any()
     want = np.bitwise_count(values[:, None] ^ values[None, :]) <= radius
     assert (bits[:, :n].astype(bool) == want).all()
+    groups = [values[:1], values[1:64], values[64:129], values[100:], values[:64]]
+    got = zip(*map(np.ndarray.tolist, simhash.close_pairs(groups, radius)), strict=True)
+    near = [np.argwhere(np.bitwise_count(g[:, None] ^ g[None, :]) <= radius) for g in groups]
+    assert sorted(got) == sorted((k, i, j) for k, x in enumerate(near) for i, j in x.tolist() if i < j)
     parent = list(range(n))
 
     def root(i):
@@ -102,6 +106,7 @@ def test_bit_slices_match_popcounts(radius):
 
 def test_large_buckets_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "SMALL", 6)
     rnd = random.Random(5)
     fps = {0}
     while len(fps) < 120:

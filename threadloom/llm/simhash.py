@@ -7,9 +7,9 @@ stretches, so a bucket for every choice of ``agree`` stretches holds every such
 In a bucket the fingerprints' bits stand as 64 planes of machine words, 64 fingerprints side by
 side. Adding a plane's differences to bitwise counters with carry-save steps updates 64 distances
 at once; the counters start so that they overflow just above the radius, and a query whose block
-has overflowed everywhere is abandoned. Equal fingerprints are one node, and a bucket gives a
-spanning forest instead of all its pairs. A large bucket is cut into blocks, and every two blocks
-meet in a task of their own.
+has overflowed everywhere is abandoned. Equal fingerprints are one node. Small buckets are compared
+many at a time; one above :data:`SMALL` gives a spanning forest instead of its pairs. A large bucket
+is cut into blocks, and every two blocks meet in a task of their own.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ SEED = 42
 # Fingerprints of one block of a large bucket.
 BLOCK = 8192
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+# Groups of at most so many values are compared side by side, so many values at a time, in steps
+# of so many words.
+SMALL, VALUES_TOGETHER, PAIRS_TOGETHER = 512, 8192, 1 << 16
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -73,27 +76,34 @@ def planes_of(values: np.ndarray) -> np.ndarray:
     return np.packbits(padded, axis=1, bitorder="little").view("<u8")
 
 
+def counters_for(shape: tuple[int, ...], radius: int) -> list[np.ndarray]:
+    """Bitwise counters, one array for each binary digit, that overflow just above the radius."""
+    digits = radius.bit_length()
+    start = (1 << digits) - 1 - radius
+    return [np.full(shape, ALL if start >> b & 1 else 0, np.uint64) for b in range(digits)]
+
+
+def added(counters: list[np.ndarray], carry: np.ndarray) -> np.ndarray:
+    """Add a plane's differences to the counters; what overflows them comes back."""
+    for counter in counters:
+        spill = counter & carry
+        counter ^= carry
+        carry = spill
+    return carry
+
+
 def close(planes: np.ndarray, n: int, queries: np.ndarray, radius: int) -> np.ndarray:
     """For each query a row of bits, one for each of the ``n`` values: 1 within the radius."""
     width = planes.shape[1]
     over = np.zeros((len(queries), width), np.uint64)
     if n % 64:
         over[:, -1] = ALL << np.uint64(n % 64)
-    start = (1 << radius.bit_length()) - 1 - radius
-    counters = [
-        np.full(over.shape, ALL if start >> b & 1 else 0, np.uint64)
-        for b in range(radius.bit_length())
-    ]
+    counters = counters_for(over.shape, radius)
     result = np.zeros(over.shape, np.uint64)
     alive, live = np.arange(len(queries)), queries
     for plane in range(BITS):
         flip = np.where(live >> np.uint64(plane) & np.uint64(1), ALL, np.uint64(0))
-        carry = planes[plane][None, :] ^ flip[:, None]
-        for counter in counters:
-            spill = counter & carry
-            counter ^= carry
-            carry = spill
-        over |= carry
+        over |= added(counters, planes[plane][None, :] ^ flip[:, None])
         if plane % 8 == 7:
             going = (over != ALL).any(axis=1)
             if not going.all():
@@ -105,6 +115,47 @@ def close(planes: np.ndarray, n: int, queries: np.ndarray, radius: int) -> np.nd
     return result
 
 
+def close_pairs(groups: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Close pairs inside many small groups at once: group number and the two places in it.
+
+    Every value meets the words of its own group's planes; the groups' words lie side by side, so a
+    plane is added for all of them by a few array operations.
+    """
+    sizes = np.fromiter(map(len, groups), np.int64, len(groups))
+    values, words = np.concatenate(groups), -(-sizes // 64)
+    first = np.cumsum(words) - words
+    group = np.repeat(np.arange(len(groups)), sizes)
+    place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    lanes = np.full(int(words.sum()) * 64, -1, np.int64)
+    lanes[64 * first[group] + place] = np.arange(len(values))
+    planes = planes_of(np.where(lanes >= 0, values[lanes], np.uint64(0)))
+    empty = np.packbits(lanes < 0, bitorder="little").view("<u8")
+    query = np.repeat(np.arange(len(values)), words[group])
+    word = np.arange(len(query)) - np.repeat(np.cumsum(words[group]) - words[group], words[group])
+    word += first[group][query]
+    found = []
+    for at in range(0, len(query), PAIRS_TOGETHER):
+        q, w = query[at : at + PAIRS_TOGETHER], word[at : at + PAIRS_TOGETHER]
+        over = empty[w]
+        counters = counters_for(over.shape, radius)
+        live = values[q]
+        for plane in range(BITS):
+            flip = np.uint64(0) - (live >> np.uint64(plane) & np.uint64(1))
+            over |= added(counters, planes[plane][w] ^ flip)
+            if plane % 8 == 7:
+                going = over != ALL
+                if not going.all():
+                    q, w, live, over = q[going], w[going], live[going], over[going]
+                    counters = [c[going] for c in counters]
+        bits = np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        row, lane = np.nonzero(bits)
+        found.append(np.stack([q[row], lanes[64 * w[row] + lane]]))
+    one, two = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    keep = one < two
+    one, two = one[keep], two[keep]
+    return group[one], place[one], place[two]
+
+
 def forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links, as places in ``values``, that connect all values that links within the radius do."""
     n, planes = len(values), planes_of(values)
@@ -168,12 +219,27 @@ def close_links(values: DataFrame, radius: int, pieces: int, agree: int) -> Data
 
     def task(batches: Iterator[list[list]]) -> Iterator[tuple]:
         for (lists,) in batches:
-            us, vs = [], []
+            small, held = [], 0
             for fps in lists:
-                found = forest(np.array(fps, np.int64).view(np.uint64), radius)
-                us += [fps[i] for i, _ in found]
-                vs += [fps[j] for _, j in found]
-            yield us, vs
+                own = np.array(fps, np.int64)
+                if len(own) > SMALL:
+                    links = np.array(forest(own.view(np.uint64), radius), np.int64).reshape(-1, 2)
+                    yield own[links[:, 0]].tolist(), own[links[:, 1]].tolist()
+                    continue
+                small.append(own)
+                held += len(own)
+                if held >= VALUES_TOGETHER:
+                    yield linked(small)
+                    small, held = [], 0
+            if small:
+                yield linked(small)
+
+    def linked(lists: list[np.ndarray]) -> tuple[list, list]:
+        group, one, two = close_pairs([own.view(np.uint64) for own in lists], radius)
+        ends = np.cumsum([len(own) for own in lists])
+        start = np.concatenate([[0], ends[:-1]])[group]
+        values = np.concatenate(lists)
+        return values[start + one].tolist(), values[start + two].tolist()
 
     return map_batches(groups, task, "u long, v long")
 
