@@ -1,7 +1,7 @@
 """Exact top-k search by BM25: inverted index in shards, block-max WAND, exact merge.
 
-A shard indexes a few MB of whole texts: for every term its postings by document place, and for
-every block of 64 places in which the term occurs, its greatest number of occurrences and the
+A shard indexes about 1 MB of whole texts: for every term its postings by document place, and for
+every block of 32 places in which the term occurs, its greatest number of occurrences and the
 least length of such a document. These bound the term's share of any score in the block.
 
 A query adds up its terms' bounds for every block and scores blocks from the highest bound down.
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from threadloom.llm.common import cut, map_batches, part_number, text_of
 
 K1, B = 1.2, 0.75
-BLOCK_BITS = 6
+BLOCK_BITS = 5
 # Text and documents of one shard; queries that go through the shards together.
-SHARD_BYTES, SHARD_DOCS = 1 << 22, 1 << 14
+SHARD_BYTES, SHARD_DOCS = 1 << 20, 1 << 14
 QUERIES_TOGETHER = 4096
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
