@@ -4,6 +4,11 @@ A line is boilerplate on a host when at least ``min_pages`` of its pages, and mo
 of them, contain it. Pages are counted for each host and line key, which spreads a large host over
 all tasks. A host has at most (its mean number of lines) / ``ratio`` such lines, because each is on
 more than ``ratio`` of the pages; so one short list for each host goes back to the pages.
+
+With ``distinct_pages`` copies of one page are one page, in the number of a host's pages and of those
+with a line, so that a page's own lines don't become boilerplate by being copied. The query op7
+counts every row, as its SQL does; the pipeline, which keeps one of the copies later, counts
+distinct pages.
 """
 
 from __future__ import annotations
@@ -35,14 +40,23 @@ def is_line(line: Column) -> Column:
 
 
 def boilerplate(
-    df: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES
+    df: DataFrame,
+    host: str,
+    text: str,
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    distinct_pages: bool = False,
 ) -> DataFrame:
     """``host`` and ``keys``, the keys of the lines to drop there."""
-    pages = df.select(F.col(host).alias("host"), page_lines(text_of(text)).alias("lines"))
+    whole = text_of(text)
+    keys = F.array_distinct(F.transform(F.filter(page_lines(whole), is_line), line_key))
+    pages = df.select(F.col(host).alias("host"), keys.alias("keys"), line_key(whole).alias("page"))
+    if distinct_pages:
+        # the lines' keys are shuffled, not the texts
+        pages = cut(pages.groupBy("host", "page").agg(F.first("keys").alias("keys")), "pages")
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    keys = F.array_distinct(F.transform(F.filter("lines", is_line), line_key))
     counts = (
-        pages.select("host", F.explode(keys).alias("key"))
+        pages.select("host", F.explode("keys").alias("key"))
         .groupBy("host", "key")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= min_pages)
@@ -60,15 +74,17 @@ def drop_lines(
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    distinct_pages: bool = False,
 ) -> DataFrame:
     """The rows with boilerplate lines taken out of ``text``; adds ``_dropped``, their number.
 
     Blank lines stay, and so do lines of hosts with fewer than ``min_pages`` pages. A null text
-    stays null; a null host is a host of its own; a repeated row is a page of its own. Lines are
-    compared without spaces at their ends.
+    stays null; a null host is a host of its own; a repeated row is a page of its own, or with
+    ``distinct_pages`` the same page, whatever spaces are at the text's ends. Lines are compared
+    without spaces at their ends.
     """
     # written first: Spark then knows its size, broadcasts it if small, else splits a hot host
-    found = cut(boilerplate(df, host, text, ratio, min_pages), "boilerplate").select(
+    found = cut(boilerplate(df, host, text, ratio, min_pages, distinct_pages), "boilerplate").select(
         F.col("host").alias("_host"), F.col("keys").alias("_keys")
     )
     joined = df.join(found, df[host].eqNullSafe(found["_host"]), "left")
