@@ -1,4 +1,4 @@
-"""Exact top-k search by BM25: inverted index in shards, block-max WAND, exact merge.
+"""Exact top-k search by BM25: inverted index in shards, blocks by falling bound, exact merge.
 
 A shard indexes about 1 MB of whole texts: for every term its postings by document place, and for
 every block of 32 places in which the term occurs, its greatest number of occurrences and the
