@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, language, lines, mixing, packing, search, simhash, substring, syncmers, token_files
+from threadloom.llm import (
+    bpe,
+    interleave,
+    language,
+    lines,
+    mixing,
+    packing,
+    search,
+    simhash,
+    substring,
+    syncmers,
+    token_files,
+)
 from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +191,70 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+SHARDS = 24
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in shards that all have the mixture of sources."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    size = (F.octet_length(text) + F.lit(8)).cast("long")
+    slim = docs.select("doc_id", "source", size.alias("size"), F.crc32(text).alias("text_crc32"))
+    placed = interleave.interleave(slim, SHARDS, tokens=["doc_id", "size", "text_crc32"])
+    return placed.select(
+        "row.doc_id",
+        "row.size",
+        "row.text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _crc32_entry(n: int) -> int:
+    """What a byte does to the reflected CRC-32."""
+    for _ in range(8):
+        n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+CRC32_SQL = f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT)),
+    lambda c, b: xor(c >> 8, ({[_crc32_entry(n) for n in range(256)]}::BIGINT[])[1 + (xor(c, b) & 255)])))"""
+
+
+def _number_sql(digest: str) -> str:
+    digits = interleave.DIGITS
+    return f"('0x' || {digest}[1:{digits}])::BIGINT / {float(16**digits)}::DOUBLE"
+
+
+OP12_SQL = f"""
+WITH slim AS (
+    SELECT doc_id, coalesce('=' || source, 'null') AS source,
+        strlen(coalesce(text, '')) + 8 AS size, {CRC32_SQL} AS text_crc32 FROM documents
+), copies AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, source, size, text_crc32) - 1 AS copy FROM slim
+), keyed AS (
+    SELECT *, md5('{interleave.SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || size || '|' || text_crc32
+        || '|' || copy) AS token FROM copies
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY source
+        ORDER BY token, doc_id NULLS FIRST, size, text_crc32, copy) - 1 AS rank,
+        count(*) OVER (PARTITION BY source) AS n FROM keyed
+), fractions AS (
+    SELECT *, (rank + {_number_sql(f"md5('{interleave.SEED}|' || source)")}) / n AS fraction FROM ranked
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY fraction, source, rank) - 1 AS position,
+        count(*) OVER () AS total FROM fractions
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (position * {SHARDS} // total)::INTEGER AS shard,
+    position - ((position * {SHARDS} // total) * total + {SHARDS - 1}) // {SHARDS} AS slot,
+    NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+
 def with_crc(pieces: DataFrame) -> DataFrame:
     """Pieces with a checksum in place of their ids."""
     return pieces.select(
@@ -193,6 +269,23 @@ def with_crc(pieces: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_fingerprints, op4_language, op5_bpe, op6_lm_scores, op7_line_dedup, op8_search, op9_packing, op10_token_files)
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op2_substring_dedup,
+        op3_fingerprints,
+        op4_language,
+        op5_bpe,
+        op6_lm_scores,
+        op7_line_dedup,
+        op8_search,
+        op9_packing,
+        op10_token_files,
+        op12_sharding,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": OP7_SQL,
+    "op8_search": OP8_SQL,
+    "op12_sharding": OP12_SQL,
 }
-ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op8_search": OP8_SQL}
