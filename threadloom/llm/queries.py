@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
+    best_position,
     bpe,
     interleave,
     language,
@@ -255,6 +256,52 @@ FROM placed
 """
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    found = best_position.top_k(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "benchmark"),
+        10,
+        query_key="item_id",
+        query_text="text",
+    )
+    return found.withColumnRenamed("query_id", "item_id")
+
+
+TERM_SQL = r"[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+"
+
+
+def _terms_sql(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), '{best_position.UPPER}', '{best_position.LOWER}')"
+    return f"regexp_extract_all({lowered}, '{TERM_SQL}')"
+
+
+OP13_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, {_terms_sql('text')} AS terms FROM documents
+), stats AS (
+    SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0
+), tf AS (
+    SELECT doc_id, any_value(len(terms)) AS length, term, count(*) AS times
+    FROM (SELECT doc_id, terms, unnest(terms) AS term FROM docs) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+    FROM tf, stats GROUP BY term
+), asked AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest({_terms_sql('text')}) AS term FROM benchmark) GROUP BY item_id, term
+), scores AS (
+    SELECT item_id, doc_id, sum(a.times * weight * ((1000000000 * t.times)
+        // (1000 * t.times + 8 * (100 - 75 + (75 * length * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked a JOIN tf t USING (term) JOIN weights USING (term), stats GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def with_crc(pieces: DataFrame) -> DataFrame:
     """Pieces with a checksum in place of their ids."""
     return pieces.select(
@@ -282,10 +329,12 @@ QUERIES: dict[str, Query] = {
         op9_packing,
         op10_token_files,
         op12_sharding,
+        op13_ranked_search,
     )
 }
 ORACLES: dict[str, str] = {
     "op7_line_dedup": OP7_SQL,
     "op8_search": OP8_SQL,
     "op12_sharding": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
