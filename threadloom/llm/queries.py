@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
+    alignment,
     best_position,
     bpe,
     interleave,
@@ -27,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -192,6 +194,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in two vocabularies aligned, with corpus-wide counts of its links."""
+    paths = map(bpe.default_path, (BYTE_VOCABULARY, PIECE_VOCABULARY))
+    aligned = alignment.align(table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    found = alignment.score(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 SHARDS = 24
 
 
@@ -328,6 +339,7 @@ QUERIES: dict[str, Query] = {
         op8_search,
         op9_packing,
         op10_token_files,
+        op11_alignment,
         op12_sharding,
         op13_ranked_search,
     )
