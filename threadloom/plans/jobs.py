@@ -1,7 +1,8 @@
 """The jobs, from XML files to replaced tables.
 
 Each scan is landed as a typed table first and read back for the thread build: the XML is parsed
-once, and everything downstream reads only the columns it needs.
+once, and everything downstream reads only the columns it needs. A job's tables are one generation:
+readers see all of them change in one step at its end, or none.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.generations import Generation, generation
 from threadloom.operators.quality import (
     quality_counts,
     require_comment_keys,
@@ -19,14 +21,14 @@ from threadloom.operators.quality import (
 )
 from threadloom.operators.routing import sample_lines
 from threadloom.operators.threads import build_threads
+from threadloom.schemas import entity
 from threadloom.session import job_folder, sized_shuffle, stored_bytes
-from threadloom.sinks import write_rejects, write_table
+from threadloom.sinks import stage_rejects, stage_table
 from threadloom.sources import (
     accepted,
     head_counts,
     is_rejected,
     read_lines,
-    read_table,
     rejects,
     scan_rows,
     type_records,
@@ -54,14 +56,13 @@ def _load(
     report: Report,
     name: str,
     path: str,
-    base: str | None,
+    new: Generation,
     *,
-    database: str | None = None,
     strict: bool = False,
     alias_editor: bool = False,
     **layout,
 ) -> None:
-    """Replace one typed table and its rejects; counts come from the same pass that writes it."""
+    """Stage one typed table and its rejects; counts come from the same pass that writes it."""
     scan = scan_rows(spark, path, name, strict=strict, alias_editor=alias_editor, **layout)
     typed = type_records(scan, name, strict=strict, alias_editor=alias_editor)
     seen = Observation()
@@ -89,7 +90,7 @@ def _load(
         if strict and broken_heads():
             raise ValueError(f"{path}: {broken_heads()} broken rows without content")
 
-    write_table(rows, name, base, database=database, check=check)
+    stage_table(new, rows, name, check=check)
     counts = seen.get
     report.scans[name] = {
         "lines": counts["pieces"] - counts["headed_files"],
@@ -102,11 +103,16 @@ def _load(
     bad = rejects(scan)
     clean = not report.scans[name]["rejected"]
     rejected = spark.createDataFrame([], bad.schema) if clean else bad
-    write_rejects(rejected, name, base, database=database)
+    stage_rejects(new, rejected, name)
 
 
 def load_posts(
-    spark: SparkSession, posts_path: str, base: str | None = None, **options
+    spark: SparkSession,
+    posts_path: str,
+    base: str | None = None,
+    *,
+    database: str | None = None,
+    **options,
 ) -> Report:
     """Posts XML to the ``post`` table.
 
@@ -115,42 +121,59 @@ def load_posts(
     owner's display name; ``one_row_per_line``, ``root`` and ``record`` describe the files.
     """
     report = Report()
-    with job_folder(spark):
-        _load(spark, report, "post", posts_path, base, **options)
+    with job_folder(spark), generation(spark, base, database=database) as new:
+        _load(spark, report, "post", posts_path, new, **options)
     return report
 
 
 def load_both(
-    spark: SparkSession, posts_path: str, comments_path: str, base: str | None = None, **options
+    spark: SparkSession,
+    posts_path: str,
+    comments_path: str,
+    base: str | None = None,
+    *,
+    database: str | None = None,
+    **options,
 ) -> Report:
     """Posts and comments XML to the ``post`` and ``comment`` tables."""
-    report = load_posts(spark, posts_path, base, **options)
-    with job_folder(spark):
-        _load(spark, report, "comment", comments_path, base, **options)
+    report = Report()
+    with job_folder(spark), generation(spark, base, database=database) as new:
+        _load_both(spark, report, posts_path, comments_path, new, **options)
     return report
 
 
-def _write_threads(
+def _load_both(
+    spark: SparkSession,
+    report: Report,
+    posts_path: str,
+    comments_path: str,
+    new: Generation,
+    **options,
+) -> None:
+    _load(spark, report, "post", posts_path, new, **options)
+    _load(spark, report, "comment", comments_path, new, **options)
+
+
+def _stage_threads(
     spark: SparkSession,
     report: Report,
-    base: str | None,
+    new: Generation,
     *,
     with_comments: bool,
     count_quality: bool,
     max_group: int | None,
-    database: str | None = None,
 ) -> None:
-    posts = read_table(spark, base, "post", database=database)
-    comments = read_table(spark, base, "comment", database=database)
-    # only what is shuffled counts; a catalog table's files are not listed
-    shuffled = [f"{base}/post", *([f"{base}/comment"] if with_comments else [])]
-    stored = 0 if database else stored_bytes(spark, *shuffled)
-    with job_folder(spark), sized_shuffle(spark, SHUFFLE_EXPANSION * stored):
+    posts, comments = (new.read(t, entity(t).schema) for t in ("post", "comment"))
+    shuffled = ["post", "comment"] if with_comments else ["post"]
+    # a catalog table's files are not listed
+    paths = [new.path(t) for t in shuffled] if hasattr(new, "path") else []
+    stored = stored_bytes(spark, *paths) if paths else 0
+    with sized_shuffle(spark, SHUFFLE_EXPANSION * stored):
         threads = build_threads(
             posts.drop("comments"), comments if with_comments else None, max_group=max_group
         )
         kind = "thread" if max_group is None else "thread_part"
-        write_table(threads, kind, base, database=database, table="thread")
+        stage_table(new, threads, kind, table="thread")
         if count_quality:
             counts = quality_counts(posts, comments, dedupe=with_comments)
             # one row per channel, a fixed handful
@@ -163,25 +186,27 @@ def threads_without_comments(
     comments_path: str,
     base: str | None = None,
     *,
+    database: str | None = None,
     count_quality: bool = True,
     max_group: int | None = None,
     **options,
 ) -> Report:
-    """Load both tables, then replace ``thread``; every post counts and comments stay empty.
+    """Replace ``post``, ``comment`` and ``thread``; every post counts and comments stay empty.
 
     A thread is one row. With ``max_group``, larger ones come in parts, and all rows of the table
     have ``thread_key``, ``part`` and ``n_parts`` in front.
     """
-    report = load_both(spark, posts_path, comments_path, base, **options)
-    _write_threads(
-        spark,
-        report,
-        base,
-        with_comments=False,
-        count_quality=count_quality,
-        max_group=max_group,
-        database=options.get("database"),
-    )
+    report = Report()
+    with job_folder(spark), generation(spark, base, database=database) as new:
+        _load_both(spark, report, posts_path, comments_path, new, **options)
+        _stage_threads(
+            spark,
+            report,
+            new,
+            with_comments=False,
+            count_quality=count_quality,
+            max_group=max_group,
+        )
     return report
 
 
@@ -191,20 +216,22 @@ def threads_with_comments(
     comments_path: str,
     base: str | None = None,
     *,
+    database: str | None = None,
     count_quality: bool = True,
     max_group: int | None = None,
     **options,
 ) -> Report:
-    """Load both tables, then replace ``thread`` with threads that carry their comments; see
+    """Replace ``post``, ``comment`` and ``thread``, whose posts carry their comments; see
     :func:`threads_without_comments`."""
-    report = load_both(spark, posts_path, comments_path, base, **options)
-    _write_threads(
-        spark,
-        report,
-        base,
-        with_comments=True,
-        count_quality=count_quality,
-        max_group=max_group,
-        database=options.get("database"),
-    )
+    report = Report()
+    with job_folder(spark), generation(spark, base, database=database) as new:
+        _load_both(spark, report, posts_path, comments_path, new, **options)
+        _stage_threads(
+            spark,
+            report,
+            new,
+            with_comments=True,
+            count_quality=count_quality,
+            max_group=max_group,
+        )
     return report

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom.functions import format_iso
 from threadloom.schemas import entity
-from threadloom.session import file_system
+from threadloom.generations import Generation, generation
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -46,69 +45,38 @@ def write_table(
     """Replace a table with rows of entity ``name``: Parquet below ``base``, or a catalog table of
     ``database``. It is called like the entity unless ``table`` names it.
 
-    The new table is written beside the old one, which stays readable until the new one is
-    complete and ``check``, if given, has not raised.
+    The old table stays readable until the new one is complete and ``check``, if given, has not
+    raised; the change to the new one is a single step, see :mod:`threadloom.generations`.
     """
-    replace(conform(df, name), table or name, base, database=database, check=check)
+    with generation(df.sparkSession, base, database=database) as new:
+        stage_table(new, df, name, table=table, check=check)
 
 
-def replace(
+def stage_table(
+    new: Generation,
     df: DataFrame,
-    table: str,
-    base: str | None = None,
+    name: str,
     *,
-    database: str | None = None,
+    table: str | None = None,
     check: Callable[[], None] | None = None,
 ) -> None:
-    """Stage the rows, then switch to them."""
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    if database is not None:
-        staged = f"{database}.{table}_staged_{mark}"
-        try:
-            df.write.format("parquet").saveAsTable(staged)
-            if check:
-                check()
-        except BaseException:
-            spark.sql(f"DROP TABLE IF EXISTS {staged}")
-            raise
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {database}.{table}")
-    elif base is not None:
-        staged = f"{base.rstrip('/')}/.{table}-{mark}"
-        try:
-            df.write.parquet(staged)
-            if check:
-                check()
-        except BaseException:
-            system, path = file_system(spark, staged)
-            system.delete(path, True)
-            raise
-        _switch(spark, staged, f"{base.rstrip('/')}/{table}")
-    else:
-        raise ValueError("give a base path or a database")
-
-
-def _switch(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a complete table in the place of another; if that fails, the old one comes back."""
-    system, new = file_system(spark, staged)
-    _, live = file_system(spark, target)
-    _, old = file_system(spark, f"{staged}-replaced")
-    had = system.exists(live)
-    if had and not system.rename(live, old):
-        raise OSError(f"cannot move {target}")
-    if not system.rename(new, live):
-        if had:
-            system.rename(old, live)
-        raise OSError(f"cannot move the new table to {target}")
-    if had:
-        system.delete(old, True)
+    """:func:`write_table` into a generation, to be shown with its other tables."""
+    new.stage(conform(df, name), table or name, name, check)
+
+
+def stage_rejects(new: Generation, rejected: DataFrame, name: str) -> None:
+    """Put the entity's table of rejected lines into a generation. Below a path it is copied to the
+    plain folder ``<name>_rejects`` as well, for reading without this package."""
+    new.stage(rejected, f"{name}_rejects")
+    new.publish(f"{name}_rejects")
 
 
 def write_rejects(
     rejected: DataFrame, name: str, base: str | None = None, *, database: str | None = None
 ) -> None:
     """Replace the entity's table of rejected lines."""
-    replace(rejected, f"{name}_rejects", base, database=database)
+    with generation(rejected.sparkSession, base, database=database) as new:
+        stage_rejects(new, rejected, name)
 
 
 def _with_text_dates(value: Column, dtype: T.DataType) -> Column:

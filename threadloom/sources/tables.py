@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.schemas import ROW_ID, entity
+from threadloom.generations import current_path
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
@@ -24,5 +25,5 @@ def read_table(
     """Read a table of entity ``name`` below ``base``, or from the catalog's ``database``."""
     if database is not None:
         return spark.table(f"{database}.{table or name}")
-    path = f"{base.rstrip('/')}/{table or name}"
+    path = current_path(spark, base, table or name)
     return spark.read.schema(entity(name).schema).parquet(path)
