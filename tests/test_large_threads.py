@@ -1,0 +1,98 @@
+"""Threads that several tasks list: the rows one task gives, weighed by rows and by bytes."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.archive import comment, comments_frame, post, posts_frame
+from threadloom.operators import listing
+from threadloom.operators import threads as building
+from threadloom.operators.listing import GroupTooLarge
+from threadloom.operators.threads import build_threads
+
+
+def archive():
+    """A hot thread with equal, null and different dates, copies of answers, and a usual one."""
+    rng = random.Random(3)
+    posts = [post("q", "1", title="hot"), post("r", "1"), post("b", "2", "r"), post("lone", "2", "gone")]
+    for i in range(150):
+        row = post(f"a{i % 120}", "2", "q", day=rng.randrange(4), body=f"{i} " * rng.randrange(40))
+        if i % 11 == 0:
+            row["creation_date"] = None
+        if i % 13 == 0:
+            row["creation_date"] = dt.datetime(2020, 1, 2)
+        posts.append(row)
+    posts += [post("same", "2", "q", day=1)] * 40
+    comments = [comment(f"c{i}", f"a{i % 30}", day=i % 3) for i in range(300)]
+    comments += [comment(f"k{i}", "q") for i in range(50)] + [comment("x", "b"), comment("y", "nowhere")]
+    return posts, comments
+
+
+def rows(df):
+    found = df.collect()
+    assert len({r["thread_key"] for r in found}) == len(found)
+    return {r["thread_key"]: r for r in found}
+
+
+@pytest.mark.parametrize("with_comments", [True, False])
+@pytest.mark.parametrize("limit", ["rows", "bytes"])
+def test_same_rows_in_the_same_order(spark, tmp_path, monkeypatch, with_comments, limit):
+    posts, comments = archive()
+    posts_frame(spark, posts).write.parquet(str(tmp_path / "p"))
+    p = spark.read.parquet(str(tmp_path / "p"))
+    c = comments_frame(spark, comments) if with_comments else None
+    want, want_all = rows(build_threads(p, c)), rows(build_threads(p, c, keep_questionless=True))
+    for module in (building, listing):
+        if limit == "rows":
+            monkeypatch.setattr(module, "MAX_GROUP", 7)
+        else:
+            monkeypatch.setattr(module, "PART_BYTES", 2000)
+    used = []
+    real = building._rows_per_stretch
+    monkeypatch.setattr(building, "_rows_per_stretch", lambda members: used.append(1) or real(members))
+    got = rows(build_threads(p, c))
+    assert used and got == want and len(got["q"]["answers"]) > 100
+    assert got.keys() == {"q", "r"}
+    assert rows(build_threads(p, c, keep_questionless=True)) == want_all
+
+
+def test_stretches_are_of_about_equal_size(spark, monkeypatch):
+    answers = [post(f"a{i}", "2", "q" if i % 3 == 0 else f"r{i % 97}", day=i % 5) for i in range(3000)]
+    members = posts_frame(spark, [post("q", "1")] + answers).selectExpr("*", "parent_id AS thread_key", "xxhash64(id) AS _row_id")
+    members = members.withColumns({"_parts": F.when(F.col("parent_id") == "q", 20).otherwise(1), "n_answers": F.lit(1000)})
+    large = building._rows_per_stretch(members.where("_parts > 1"))
+    sizes = sorted(r["count"] for r in large.groupBy("part").count().collect())
+    assert sum(sizes) == 1000 and len(sizes) == 20 and sizes[-1] <= 3 * sizes[10]
+    # stretches follow the order of the answers
+    ends = large.groupBy("part").agg(F.min(F.struct("creation_date", "id")).alias("a"), F.max(F.struct("creation_date", "id")).alias("z"))
+    ends = ends.orderBy("part").collect()
+    assert all(x["z"] < y["a"] for x, y in zip(ends, ends[1:]))
+
+
+def test_a_thread_that_no_row_can_hold_is_named(spark, monkeypatch):
+    monkeypatch.setattr(listing, "ROW_BYTES", 20_000)
+    monkeypatch.setattr(building, "PART_BYTES", 10_000)
+    posts = [post("q", "1"), post("r", "1")] + [post(f"a{i}", "2", "q", body="x" * 3000) for i in range(10)]
+    p = posts_frame(spark, posts)
+    with pytest.raises(GroupTooLarge, match="'q'.*max_group"):
+        build_threads(p)
+    parts = build_threads(p, max_group=100)
+    assert parts.where("thread_key = 'q'").count() > 1
+    assert parts.select(F.sum(F.size("answers"))).first()[0] == 10
+    # comments weigh as well
+    c = comments_frame(spark, [comment(f"c{i}", "r", text="y" * 3000) for i in range(10)])
+    with pytest.raises(GroupTooLarge, match="'r'.*max_group"):
+        build_threads(p.where("id IN ('q', 'r')"), c)
+    # a large group without a question is dropped, not refused
+    gone = posts_frame(spark, [post("r", "1")] + [post(f"a{i}", "2", "gone", body="x" * 3000) for i in range(10)])
+    assert [r["thread_key"] for r in build_threads(gone).collect()] == ["r"]
+
+
+def test_weighing_shuffles_no_text(spark):
+    p, c = (f(spark, rows) for f, rows in ((posts_frame, archive()[0]), (comments_frame, archive()[1])))
+    plan = building.comments_per_post(c, weigh=True)._jdf.queryExecution().executedPlan().toString()
+    # the sums are made before the exchange
+    assert plan.index("Exchange") < plan.index("partial_sum") and plan.count("Exchange") == 1
+    assert p.select(building._post_bytes()).first()[0] >= building.POST_BYTES

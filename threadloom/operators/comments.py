@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions import or_empty, ordered_list
+from threadloom.operators.listing import Listed, whole_lists
 from threadloom.operators.rows import comment_struct
 from threadloom.operators.skew import (
     Splits,
@@ -15,19 +16,34 @@ from threadloom.operators.skew import (
     measure,
     with_parts,
 )
-from threadloom.schemas import COMMENT_LIST
+from threadloom.schemas import COMMENT_COLUMNS, COMMENT_LIST
 
 
-def comments_per_post(comments: DataFrame) -> DataFrame:
-    """``post_id`` and ``n_comments``, from the key column alone."""
+# What a comment takes beside its text.
+COMMENT_BYTES = 128
+
+
+def comments_per_post(comments: DataFrame, *, weigh: bool = False) -> DataFrame:
+    """``post_id`` and ``n_comments``, from the key column alone; with ``weigh``, which reads the
+    texts but shuffles none, their ``comment_bytes`` too."""
     keyed = comments.where(F.col("post_id").isNotNull())
-    return keyed.groupBy("post_id").agg(F.count("*").alias("n_comments"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + COMMENT_BYTES
+    weights = [F.sum(size).alias("comment_bytes")] if weigh else []
+    return keyed.groupBy("post_id").agg(F.count("*").alias("n_comments"), *weights)
 
 
 def comment_lists(comments: DataFrame, splits: Splits | None) -> DataFrame:
-    """``post_id``, ``slice`` and the list of the slice's comments, oldest first."""
+    """``post_id``, ``slice`` and the list of the slice's comments, oldest first.
+
+    Without ``splits`` a post has one slice, which several tasks list if it is large.
+    """
     keyed = comments.where(F.col("post_id").isNotNull())
-    items = ordered_list(comment_struct(), F.col("creation_date"), F.col("id"))
+    order = F.col("creation_date"), F.col("id")
+    if splits is None:
+        slim = keyed.select(*COMMENT_COLUMNS)
+        whole = whole_lists(slim, "post_id", {"comments": Listed(comment_struct(), order)})
+        return whole.withColumn("slice", F.lit(0))
+    items = ordered_list(comment_struct(), *order)
     divided = divide(keyed, "post_id", splits, "slice")
     return group_divided(divided, "slice", items.alias("comments"))
 

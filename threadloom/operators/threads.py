@@ -5,10 +5,12 @@ never has to be joined to its answers. Comments are first grouped by post and re
 through a table of post keys only, so a post's body is shuffled once and not a second time to
 meet its comments.
 
-A thread is one row at every size. The posts of a very large one are sorted and listed in parts
-by several tasks, and the lists are then put together; that last row is the result itself, so no
-plan can avoid it. A caller that wants no such row gives ``max_group``: threads with more answers
-and comments then come as several rows that repeat the question's own columns, and every row tells
+Threads are weighed first, by their answers and comments and by the bytes of their texts. A thread
+is one row at every size. A very large one is cut at values of its answers' order, its stretches are
+listed by several tasks, and the lists are put one after the other, so nothing sorts the whole of
+it; that last row is the result itself, so no plan can avoid it, and a thread that no row can hold
+is an error that says so. A caller that wants no such row gives ``max_group``: threads with more
+answers and comments, or more bytes than a part holds, then come as several rows that repeat the question's own columns, and every row tells
 its ``part`` and the number of parts. Every answer and comment is in exactly one part; an answer
 with very many comments is listed several times, each time with another slice of them. The flat
 relations :func:`answers_of_questions` and :func:`comments_of_posts` need no grouping at all.
@@ -22,6 +24,14 @@ from pyspark.sql import functions as F
 from threadloom.functions import empty_array, map_array, or_empty, ordered_list
 from threadloom.operators.comments import comment_lists, comments_per_post
 from threadloom.operators.duplicates import first_posts, post_order
+from threadloom.operators.listing import (
+    PART_BYTES,
+    bytes_of,
+    cuts_of,
+    refuse_too_large,
+    sampled,
+    stretch_of,
+)
 from threadloom.operators.rows import post_struct
 from threadloom.operators.routing import is_answer, is_question, with_thread_key
 from threadloom.operators.skew import (
@@ -38,6 +48,10 @@ from threadloom.operators.skew import (
 from threadloom.schemas import COMMENT_LIST, POST_SCALARS, ROW_ID
 
 
+# What a post takes beside its texts.
+POST_BYTES = 256
+
+
 def missing_question_keys(posts: DataFrame) -> DataFrame:
     """Distinct thread keys that have answers but no question."""
     keyed = with_thread_key(posts)
@@ -58,23 +72,19 @@ def _last_per_thread(questions: DataFrame) -> DataFrame:
     return questions.groupBy("thread_key").agg(last).select("_last.*")
 
 
-def _rows_per_part(
-    members: DataFrame, threads: Splits | None, slices: Splits | None, whole: bool
-) -> DataFrame:
-    """Give every post its part and comment slice, repeating it where it stands in several.
+def _post_bytes() -> Column:
+    """About what a post takes in a thread, without comments."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in ("body", "title")]
+    return sum(texts, F.lit(POST_BYTES).cast("long"))
+
 
-    If the parts will be put together to ``whole`` threads, nothing is repeated.
+def _rows_per_part(members: DataFrame, slices: Splits | None) -> DataFrame:
+    """Give every post its part and comment slice, repeating it where it stands in several.
 
     A question stands in all parts of its thread and brings slice ``i`` of its comments to part
     ``i``. Of several questions with one key only the last can appear, so it is picked before
     it is repeated.
     """
-    if threads is None:
-        return members.withColumns({"part": F.lit(0), "slice": F.lit(0)})
-    if whole:
-        spread = F.when(is_question(), 0).otherwise(part_of(F.col("_parts"), F.col(ROW_ID)))
-        return members.withColumns({"part": spread, "slice": F.lit(0)})
-
     sized = with_parts(members, "id", slices, "_slices")
     wide_question = is_question() & F.col("n_answers").isNotNull()
     winners = (
@@ -90,6 +100,21 @@ def _rows_per_part(
     return others.unionByName(winners)
 
 
+def _rows_per_stretch(members: DataFrame) -> DataFrame:
+    """Give the posts of large threads the stretch of their thread's order they are in, as ``part``;
+    questions go to the first."""
+    place = F.struct("creation_date", "id", ROW_ID)
+    answers = members.where(is_answer())
+    samples = sampled(answers, F.col("_parts"), F.col("n_answers")).groupBy("thread_key", "_parts")
+    cuts = samples.agg(F.sort_array(F.collect_list(place)).alias("samples")).select(
+        F.col("thread_key").alias("_cut_key"), cuts_of(F.col("samples"), F.col("_parts")).alias("_cuts")
+    )
+    cuts = store(cuts, "thread-cuts")
+    placed = members.join(cuts, members["thread_key"] == cuts["_cut_key"], "left")
+    part = F.when(is_question(), 0).otherwise(stretch_of(F.col("_cuts"), place))
+    return placed.withColumns({"part": part, "slice": F.lit(0)}).drop("_cut_key", "_cuts")
+
+
 def build_threads(
     posts: DataFrame,
     comments: DataFrame | None = None,
@@ -125,48 +150,86 @@ def build_threads(
         posts.withColumns({"_order": F.when(is_question(), order), "comments": own_list}), key
     )
 
-    # Weigh posts and threads by their key columns alone; comments without a post count as well.
-    weighed, n_comments = members, F.size("comments")
+    # Weigh posts and threads: keys and sizes are shuffled, no text; comments without a post count.
+    own_bytes = _post_bytes() + bytes_of(F.col("comments"), COMMENT_LIST)
+    weighed, n_comments = members.withColumn("_bytes", own_bytes), F.size("comments")
+    comment_bytes = F.lit(0)
     if with_comments:
-        counts = comments_per_post(comments)
-        weighed = members.join(counts, members["id"] == counts["post_id"], "full")
+        counts = comments_per_post(comments, weigh=True)
+        weighed = weighed.join(counts, weighed["id"] == counts["post_id"], "full")
         n_comments = F.coalesce("n_comments", F.lit(0))
+        comment_bytes = F.coalesce("comment_bytes", F.lit(0))
     totals = weighed.groupBy("thread_key").agg(
-        F.sum(F.coalesce(is_answer(), F.lit(False)).cast("int") + n_comments).alias("weight"),
+        F.sum(F.coalesce(is_answer(), F.lit(False)).cast("int") + n_comments).alias("listed"),
+        F.sum(F.coalesce("_bytes", F.lit(0)) + comment_bytes).alias("nbytes"),
         F.count("*").alias("n_posts"),
         F.count_if(is_question()).alias("n_questions"),
         F.count_if(is_answer()).cast("int").alias("n_answers"),
         F.max(n_comments).alias("n_comments"),
     )
+    # bytes count as the answers and comments that fill a part
+    in_bytes = F.floor(F.col("nbytes") * (max_group / PART_BYTES))
+    totals = totals.withColumn("weight", F.greatest("listed", in_bytes))
     in_thread = F.when(F.col("thread_key").isNotNull(), F.greatest("weight", "n_posts"))
     sizes = F.greatest(in_thread, "n_comments")
     threads = slices = None
     if (totals.agg(F.max(sizes)).first()[0] or 0) > max_group:
         heavy = store(totals.where(sizes > max_group), "heavy-threads")
+        if whole_threads:
+            named = heavy.where(F.col("thread_key").isNotNull())
+            if not keep_questionless:
+                named = named.where("n_questions > 0")
+            refuse_too_large(named, "thread_key", "nbytes")
         carry = ("n_answers", "n_questions")
         threads = measure(heavy, "thread_key", "weight", max_group, rows="n_posts", carry=carry)
         if with_comments and not whole_threads:
             slices = measure(counts, "post_id", "n_comments", max_group)
-    if threads is not None:
-        by_id = members.withColumn(ROW_ID, F.xxhash64("id"))
-        members = by_id if with_comments else numbered(members)
-        members = with_parts(members, "thread_key", threads, "_parts")
-        if not keep_questionless:
-            # a large group that will be dropped need not be shuffled
-            members = members.where(F.coalesce(F.col("n_questions") > 0, F.lit(True)))
-
-    rows = _rows_per_part(members, threads, slices, whole_threads)
-    split = [] if threads is None else ["n_answers", "_parts"]
+    if threads is None:
+        plain = members.withColumns({"part": F.lit(0), "slice": F.lit(0)})
+        built = _listed(plain, comments, slices, split=False)
+        return built if keep_questionless else _with_question(built)
+    by_id = members.withColumn(ROW_ID, F.xxhash64("id"))
+    members = by_id if with_comments else numbered(members)
+    members = with_parts(members, "thread_key", threads, "_parts")
+    if not keep_questionless:
+        # a large group that will be dropped need not be shuffled
+        members = members.where(F.coalesce(F.col("n_questions") > 0, F.lit(True)))
+    if not whole_threads:
+        built = _listed(_rows_per_part(members, slices), comments, slices, split=True)
+        return built if keep_questionless else _with_question(built)
+
+    usual = members.where("_parts = 1").withColumns({"part": F.lit(0), "slice": F.lit(0)})
+    large = _rows_per_stretch(members.where("_parts > 1"))
+    large_comments = comments
+    if with_comments:
+        ids = large.where(F.col("id").isNotNull()).select("id").distinct()
+        large_comments = keep_keys(comments, "post_id", ids)
+    merged = _put_together(_listed(large, large_comments, None, split=True), unique=with_comments)
+    built = _listed(usual, comments, None, split=False).unionByName(merged)
+    return built if keep_questionless else _with_question(built)
+
+
+def _with_question(threads: DataFrame) -> DataFrame:
+    return threads.where(F.col("question").isNotNull())
+
+
+def _listed(
+    rows: DataFrame, comments: DataFrame | None, slices: Splits | None, *, split: bool
+) -> DataFrame:
+    """One row for each thread, or with ``split`` each part, of posts that know their ``part`` and
+    ``slice``; the columns of :func:`build_threads`."""
+    with_comments = comments is not None
+    carried = ["n_answers", "_parts"] if split else []
     post = F.struct("id", "slice", post_struct(F.col("comments")).alias("post"))
     parts = rows.select(
         "thread_key",
         "part",
-        *split,
+        *carried,
         "_order",
         F.when(is_question(), post).alias("q"),
         F.when(is_answer(), post).alias("a"),
     )
-    aggregates = [F.max(c).alias(f"max_{c}") for c in split] + [
+    aggregates = [F.max(c).alias(f"max_{c}") for c in carried] + [
         F.max_by("q", "_order").alias("q"),
         ordered_list(F.col("a"), F.col("a.post.creation_date"), F.col("a.id")).alias("a"),
     ]
@@ -183,9 +246,6 @@ def build_threads(
 
     keys = ["thread_key", "part"] if split else ["thread_key"]
     grouped = group_divided((parts, keys), "part", *aggregates)
-    merging = whole_threads and threads is not None
-    if not keep_questionless and not merging:
-        grouped = grouped.where(F.col("q").isNotNull())
 
     def whole(member: Column) -> Column:
         """A collected post, with its comments looked up."""
@@ -196,41 +256,43 @@ def build_threads(
         return F.struct(*scalars, or_empty(own, COMMENT_LIST).alias("comments"))
 
     listed = F.size("a")
-    totals_kept = split and not merging
-    built = grouped.select(
+    return grouped.select(
         "thread_key",
         "part",
-        (F.coalesce("max__parts", F.lit(1)) if totals_kept else F.lit(1)).alias("n_parts"),
-        (F.coalesce("max_n_answers", listed) if totals_kept else listed).alias("n_answers"),
+        (F.coalesce("max__parts", F.lit(1)) if split else F.lit(1)).alias("n_parts"),
+        (F.coalesce("max_n_answers", listed) if split else listed).alias("n_answers"),
         F.when(F.col("q").isNotNull(), whole(F.col("q"))).alias("question"),
         (map_array("a", whole) if with_comments else F.col("a.post")).alias("answers"),
     )
-    if not merging:
-        return built
-    merged = _put_together(built)
-    return merged if keep_questionless else merged.where(F.col("question").isNotNull())
 
 
-def _put_together(parts: DataFrame) -> DataFrame:
-    """One row for each thread from parts that hold every post once."""
-    lists = F.flatten(F.collect_list("answers"))
+def _put_together(parts: DataFrame, *, unique: bool) -> DataFrame:
+    """One row for each thread from stretches of its order. Unless ids are ``unique``, answers of
+    one date and id may be in two stretches, so the list is put in order once more; it is sorted
+    but for those, which takes one pass over it."""
     grouped = parts.groupBy("thread_key").agg(
-        F.first("question", ignorenulls=True).alias("question"), lists.alias("listed")
+        F.first("question", ignorenulls=True).alias("question"),
+        # stretches have different numbers, so sorting never looks at the lists
+        F.sort_array(F.collect_list(F.struct("part", "answers"))).alias("stretches"),
     )
-    # the order of ordered_list, on lists that are sorted already but for their seams
-    entries = F.transform(
-        "listed",
-        lambda post: F.struct(
-            post["creation_date"].alias("k0"), post["id"].alias("k1"), post.alias("item")
-        ),
-    )
-    return grouped.select(
+    answers = F.flatten(F.col("stretches")["answers"])
+    if not unique:
+        # the order of ordered_list
+        entries = F.transform(
+            answers,
+            lambda post: F.struct(
+                post["creation_date"].alias("k0"), post["id"].alias("k1"), post.alias("item")
+            ),
+        )
+        answers = F.sort_array(entries)["item"]
+    joined = grouped.select("thread_key", "question", answers.alias("answers"))
+    return joined.select(
         "thread_key",
         F.lit(0).alias("part"),
         F.lit(1).alias("n_parts"),
-        F.size("listed").alias("n_answers"),
+        F.size("answers").alias("n_answers"),
         "question",
-        F.sort_array(entries)["item"].alias("answers"),
+        "answers",
     )
 
 
