@@ -64,7 +64,7 @@ def test_no_task_lists_a_third_of_the_rows(spark, small_groups):
     rows = [comment(f"c{i}", "hot" if i % 3 == 0 else f"p{i % 500}", day=i % 17) for i in range(6000)]
     df = comments_frame(spark, rows)
     lists = {"items": Listed(F.struct(*df.columns), (F.col("creation_date"), F.col("id")))}
-    heavy = listing._heavy(df, "post_id")
+    heavy = listing.heavy_groups(df, "post_id")
     sizes = [r["n"] for r in listing.stretches(df, "post_id", lists, heavy)
              .groupBy("split_key", "stretch").agg(F.sum("copies").alias("n")).collect()]
     assert sum(sizes) > 2000
@@ -76,7 +76,7 @@ def test_no_task_lists_a_third_of_the_rows(spark, small_groups):
 def test_copies_are_counted_before_the_shuffle(spark, small_groups):
     df = comments_frame(spark, [comment("same", "hot")] * 3000 + [comment(f"c{i}", "p") for i in range(9)])
     lists = {"items": Listed(F.struct(*df.columns))}
-    rows = listing.stretches(df, "post_id", lists, listing._heavy(df, "post_id"))
+    rows = listing.stretches(df, "post_id", lists, listing.heavy_groups(df, "post_id"))
     assert sorted(r["copies"] for r in rows.collect()) == [1] * 9 + [3000]
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Python" not in plan

@@ -9,6 +9,7 @@ from threadloom.functions import or_empty, ordered_list
 from threadloom.operators.listing import Listed, whole_lists
 from threadloom.operators.rows import comment_struct
 from threadloom.operators.skew import (
+    KeyTable,
     Splits,
     divide,
     group_divided,
@@ -32,16 +33,19 @@ def comments_per_post(comments: DataFrame, *, weigh: bool = False) -> DataFrame:
     return keyed.groupBy("post_id").agg(F.count("*").alias("n_comments"), *weights)
 
 
-def comment_lists(comments: DataFrame, splits: Splits | None) -> DataFrame:
+def comment_lists(
+    comments: DataFrame, splits: Splits | None, heavy: KeyTable | None = None
+) -> DataFrame:
     """``post_id``, ``slice`` and the list of the slice's comments, oldest first.
 
-    Without ``splits`` a post has one slice, which several tasks list if it is large.
+    Without ``splits`` a post has one slice, which several tasks list if it is large; ``heavy`` are
+    such posts, where they are known.
     """
     keyed = comments.where(F.col("post_id").isNotNull())
     order = F.col("creation_date"), F.col("id")
     if splits is None:
         slim = keyed.select(*COMMENT_COLUMNS)
-        whole = whole_lists(slim, "post_id", {"comments": Listed(comment_struct(), order)})
+        whole = whole_lists(slim, "post_id", {"comments": Listed(comment_struct(), order)}, heavy)
         return whole.withColumn("slice", F.lit(0))
     items = ordered_list(comment_struct(), *order)
     divided = divide(keyed, "post_id", splits, "slice")

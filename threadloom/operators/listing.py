@@ -76,7 +76,9 @@ def cuts_of(samples: Column, parts: Column) -> Column:
 
 def stretch_of(cuts: Column, value: Column) -> Column:
     """The stretch a value is in: how many cuts are below it."""
-    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut < value)), F.lit(0))
+    # as a variable the value is made once, not for every cut
+    below = F.transform(F.array(value), lambda v: F.size(F.filter(cuts, lambda cut: cut < v)))
+    return F.coalesce(F.when(cuts.isNotNull(), below[0]), F.lit(0))
 
 
 def sampled(df: DataFrame, parts: Column, rows: Column) -> DataFrame:
@@ -129,10 +131,16 @@ def _texts(dtype: T.StructType, path: str = "") -> list[str]:
     return found
 
 
-def _heavy(df: DataFrame, key: str) -> KeyTable:
-    """Keys with more rows or bytes than one task should list, with ``parts`` and ``rows``."""
+def heavy_groups(df: DataFrame, key: str) -> KeyTable:
+    """Keys with more rows or bytes than one task should list; see :func:`heavy_keys`."""
     sized = df.select(F.col(key), row_bytes(df).alias("nbytes"))
     sizes = sized.groupBy(key).agg(F.count("*").alias("rows"), F.sum("nbytes").alias("nbytes"))
+    return heavy_keys(sizes, key)
+
+
+def heavy_keys(sizes: DataFrame, key: str) -> KeyTable:
+    """Of keys with their ``rows`` and ``nbytes``, those that several tasks should list: with
+    ``parts``, ``rows`` and ``nbytes``."""
     large = sizes.where(
         F.col(key).isNotNull() & ((F.col("rows") > MAX_GROUP) | (F.col("nbytes") > PART_BYTES))
     )
@@ -155,15 +163,16 @@ def stretches(df: DataFrame, key: str, lists: Mapping[str, Listed], heavy: KeyTa
         "split_key", "parts", "rows", *[_entry(x).alias(entries[n]) for n, x in lists.items()]
     )
     kinds = {e: hot.schema[e].dataType for e in entries.values()}
+    sample = store(sampled(hot, F.col("parts"), F.col("rows")), "sample")
     texts = [(e, path) for e, kind in kinds.items() for path in _texts(kind)]
     lengths = [F.max(F.octet_length(e + path)).alias(f"n{i}") for i, (e, path) in enumerate(texts)]
-    found = hot.agg(F.lit(0), *lengths).first()
-    longest = {e: {} for e in kinds}
+    found = sample.agg(F.lit(0), *lengths).first()
+    longest: dict[str, dict[str, int]] = {e: {} for e in kinds}
     for i, (e, path) in enumerate(texts):
         longest[e][path] = found[f"n{i}"]
     leading = {e: _leading(F.col(e), kind, longest[e]) for e, kind in kinds.items()}
 
-    samples = sampled(hot, F.col("parts"), F.col("rows")).groupBy("split_key", "parts").agg(
+    samples = sample.groupBy("split_key", "parts").agg(
         *[
             F.sort_array(F.collect_list(F.when(F.col(e).isNotNull(), leading[e]))).alias(e)
             for e in kinds
@@ -181,14 +190,18 @@ def stretches(df: DataFrame, key: str, lists: Mapping[str, Listed], heavy: KeyTa
     return placed.select("split_key", F.coalesce(*places, F.lit(0)).alias("stretch"), *kinds, "copies")
 
 
-def whole_lists(df: DataFrame, key: str, lists: Mapping[str, Listed]) -> DataFrame:
+def whole_lists(
+    df: DataFrame, key: str, lists: Mapping[str, Listed], heavy: KeyTable | None = None
+) -> DataFrame:
     """``key`` and, for every name, its whole list; empty where the key has no such row.
 
     The same rows as one aggregation by key gives. Groups of more than ``MAX_GROUP`` rows or
-    :data:`PART_BYTES` are listed in stretches; one that no row can hold is an error.
+    :data:`PART_BYTES` are listed in stretches; one that no row can hold is an error. A caller that
+    has weighed the groups gives the ``heavy`` ones.
     """
     present = df.where(F.col(key).isNotNull())
-    heavy = _heavy(present, key)
+    if heavy is None:
+        heavy = heavy_groups(present, key)
     if heavy.n == 0:
         return _list_together(present, [key], lists)
     refuse_too_large(heavy.table, "split_key", "nbytes")

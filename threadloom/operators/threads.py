@@ -28,6 +28,7 @@ from threadloom.operators.listing import (
     PART_BYTES,
     bytes_of,
     cuts_of,
+    heavy_keys,
     refuse_too_large,
     sampled,
     stretch_of,
@@ -36,7 +37,9 @@ from threadloom.operators.rows import post_struct
 from threadloom.operators.routing import is_answer, is_question, with_thread_key
 from threadloom.operators.skew import (
     MAX_GROUP,
+    KeyTable,
     Splits,
+    bounded,
     group_divided,
     keep_keys,
     measure,
@@ -186,7 +189,9 @@ def build_threads(
             slices = measure(counts, "post_id", "n_comments", max_group)
     if threads is None:
         plain = members.withColumns({"part": F.lit(0), "slice": F.lit(0)})
-        built = _listed(plain, comments, slices, split=False)
+        # no post has more comments than a task lists
+        none = KeyTable(totals, 0, True) if max_group <= MAX_GROUP else None
+        built = _listed(plain, comments, slices, split=False, heavy=none)
         return built if keep_questionless else _with_question(built)
     by_id = members.withColumn(ROW_ID, F.xxhash64("id"))
     members = by_id if with_comments else numbered(members)
@@ -200,12 +205,24 @@ def build_threads(
 
     usual = members.where("_parts = 1").withColumns({"part": F.lit(0), "slice": F.lit(0)})
     large = _rows_per_stretch(members.where("_parts > 1"))
-    large_comments = comments
+    usual_comments = large_comments = comments
+    heavy = heavy_usual = None
     if with_comments:
-        ids = large.where(F.col("id").isNotNull()).select("id").distinct()
-        large_comments = keep_keys(comments, "post_id", ids)
-    merged = _put_together(_listed(large, large_comments, None, split=True), unique=with_comments)
-    built = _listed(usual, comments, None, split=False).unionByName(merged)
+        # comments that no usual thread wants are listed with the large threads or not at all
+        ids = large.where(F.col("id").isNotNull()).select(F.col("id").alias("_large_id")).distinct()
+        ids = bounded(ids, rare=False).table
+        large_comments = comments.join(ids, comments["post_id"] == ids["_large_id"], "left_semi")
+        usual_comments = comments.join(ids, comments["post_id"] == ids["_large_id"], "left_anti")
+        weights = counts.withColumnsRenamed({"n_comments": "rows", "comment_bytes": "nbytes"})
+        heavy = heavy_keys(weights, "post_id")
+        heavy_usual = heavy
+        if heavy.n:
+            elsewhere = heavy.table.join(ids, F.col("split_key") == ids["_large_id"], "left_anti")
+            heavy_usual = bounded(elsewhere)
+    merged = _put_together(
+        _listed(large, large_comments, None, split=True, heavy=heavy), unique=with_comments
+    )
+    built = _listed(usual, usual_comments, None, split=False, heavy=heavy_usual).unionByName(merged)
     return built if keep_questionless else _with_question(built)
 
 
@@ -214,7 +231,12 @@ def _with_question(threads: DataFrame) -> DataFrame:
 
 
 def _listed(
-    rows: DataFrame, comments: DataFrame | None, slices: Splits | None, *, split: bool
+    rows: DataFrame,
+    comments: DataFrame | None,
+    slices: Splits | None,
+    *,
+    split: bool,
+    heavy: KeyTable | None = None,
 ) -> DataFrame:
     """One row for each thread, or with ``split`` each part, of posts that know their ``part`` and
     ``slice``; the columns of :func:`build_threads`."""
@@ -234,7 +256,7 @@ def _listed(
         ordered_list(F.col("a"), F.col("a.post.creation_date"), F.col("a.id")).alias("a"),
     ]
     if with_comments:
-        lists = comment_lists(comments, slices).withColumnRenamed("slice", "_slice")
+        lists = comment_lists(comments, slices, heavy).withColumnRenamed("slice", "_slice")
         homes = rows.select("thread_key", "part", "id", "slice")
         at_home = homes["id"] == lists["post_id"]
         if slices is not None:
