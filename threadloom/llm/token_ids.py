@@ -30,8 +30,8 @@ class Encoder:
 
     The library is slow on whole texts and many pieces repeat, so texts are cut at white space,
     where neither vocabulary merges, and only pieces that are not in the bounded store go to the
-    library. Texts that hold a special token's string, or separators on which white-space rules
-    differ, go to it whole.
+    library. Texts that may hold a special token's string, in any case of letters, or separators on
+    which white-space rules differ, go to it whole.
     """
 
     def __init__(self, path: str):
@@ -42,7 +42,8 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         added = self.library.get_added_tokens_decoder().values()
-        self.specials = [token.content for token in added]
+        # how special tokens begin; lowering a piece could make one of another case whole
+        self.marks = {token.content[:2] for token in added}
         # the vocabulary with word ends drops white space, the other one encodes it
         self.keeps_white_space = bool(self.library.encode(" ", add_special_tokens=False).ids)
         self.store: dict[str, bytes] = {}
@@ -54,12 +55,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        cut = [
-            None
-            if "<|" in text and any(s in text for s in self.specials)
-            else self._pieces(text)
-            for text in texts
-        ]
+        cut = [None if any(s in text for s in self.marks) else self._pieces(text) for text in texts]
         store = self._with(set().union(*filter(None, cut)))
         return [
             self._library([text])[0]
