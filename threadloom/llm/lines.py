@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import cut, text_of
+from threadloom.llm.common import cut, free_name, text_of
 
 RATIO = 0.08
 MIN_PAGES = 5
@@ -81,21 +81,25 @@ def drop_lines(
     Blank lines stay, and so do lines of hosts with fewer than ``min_pages`` pages. A null text
     stays null; a null host is a host of its own; a repeated row is a page of its own, or with
     ``distinct_pages`` the same page, whatever spaces are at the text's ends. Lines are compared
-    without spaces at their ends.
+    without spaces at their ends. Other columns pass through; where one is called ``_dropped``
+    itself, the number is ``_dropped_`` (``common.free_name``).
     """
+    dropped_name, host_name, keys_name, kept_name = (
+        free_name(n, df.columns) for n in ("_dropped", "_host", "_keys", "_kept")
+    )
     # written first: Spark then knows its size, broadcasts it if small, else splits a hot host
     found = cut(boilerplate(df, host, text, ratio, min_pages, distinct_pages), "boilerplate").select(
-        F.col("host").alias("_host"), F.col("keys").alias("_keys")
+        F.col("host").alias(host_name), F.col("keys").alias(keys_name)
     )
-    joined = df.join(found, df[host].eqNullSafe(found["_host"]), "left")
-    lines = page_lines(F.col(text))
+    joined = df.join(found, df[host].eqNullSafe(found[host_name]), "left")
+    lines, keys = page_lines(F.col(text)), F.col(keys_name)
 
     def stays(line: Column) -> Column:
-        return ~(is_line(line) & F.array_contains(F.col("_keys"), line_key(line)))
+        return ~(is_line(line) & F.array_contains(keys, line_key(line)))
 
-    kept = F.when(F.col("_keys").isNull(), lines).otherwise(F.filter(lines, stays))
-    out = joined.withColumn("_kept", kept)
-    dropped = F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("long")
+    kept = F.when(keys.isNull(), lines).otherwise(F.filter(lines, stays))
+    out = joined.withColumn(kept_name, kept)
+    dropped = F.coalesce(F.size(lines) - F.size(kept_name), F.lit(0)).cast("long")
     return out.withColumns(
-        {"_dropped": dropped, text: F.array_join("_kept", "\n")}
-    ).drop("_host", "_keys", "_kept")
+        {dropped_name: dropped, text: F.array_join(kept_name, "\n")}
+    ).drop(host_name, keys_name, kept_name)

@@ -22,6 +22,7 @@ from threadloom.llm import (
     syncmers,
     token_files,
 )
+from threadloom.llm.common import free_name
 from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,12 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without passages that an earlier one has."""
-    cleaned = substring.drop_repeats(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    cleaned = substring.drop_repeats(docs)
     return cleaned.select(
         "doc_id",
         "text",
-        F.col("_sentences").alias("n_sentences"),
-        F.col("_removed").alias("n_removed"),
+        F.col(free_name("_sentences", docs.columns)).alias("n_sentences"),
+        F.col(free_name("_removed", docs.columns)).alias("n_removed"),
     )
 
 
@@ -108,8 +110,10 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that its source repeats."""
-    cleaned = lines.drop_lines(table(spark, sf_dir, "documents"), host="source")
-    return cleaned.select("doc_id", "source", "text", F.col("_dropped").alias("n_dropped"))
+    docs = table(spark, sf_dir, "documents")
+    cleaned = lines.drop_lines(docs, host="source")
+    n_dropped = F.col(free_name("_dropped", docs.columns)).alias("n_dropped")
+    return cleaned.select("doc_id", "source", "text", n_dropped)
 
 
 OP7_SQL = f"""

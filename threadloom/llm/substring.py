@@ -5,6 +5,13 @@ together have ``min_words`` words; short sentences that recur by chance are thus
 their own, and a passage gives the same runs wherever it stands. Runs are hashed to 128 bits and
 counted over the whole corpus. A run's first occurrence, by document, stays; every sentence
 covered by another occurrence goes.
+
+A sentence of more than ``LONG`` words would hide a passage inside it, so it is cut into clauses,
+which count as sentences. The cuts depend on the words near them alone: before the word pair with
+the least hash of every ``WINDOW`` neighbours. Within a sentence, a passage of over 50 words has the
+same cuts wherever it stands, except for its first and last ``WINDOW`` words, and two clauses with
+``MIN_WORDS`` words between them. In scripts without blanks between words every character counts as
+a word.
 """
 
 from __future__ import annotations
@@ -12,26 +19,68 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import SLICE_ROWS, cut, map_batches, text_of, words
+from threadloom.llm.common import SLICE_ROWS, cut, free_name, map_batches, text_of, words
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 
-# A sentence ends at its mark before white space, or at the end of its line.
-SENTENCE_END = re.compile(r"(?<=[.!?])(?=[ \t])|(?<=\n)(?=[^\n])")
+# A sentence ends at its mark before white space, at a full-width or other mark that needs none
+# after it, or at the end of its line.
+SENTENCE_END = re.compile(
+    r"(?<=[.!?\u2026\u061F\u06D4\u0589])(?=[ \t])"
+    r"|(?<=[\u3002\uFF01\uFF0E\uFF1F\uFF61\u0964\u0965\u104B\u17D4\u1362])"
+    r"(?![\u3002\uFF01\uFF0E\uFF1F\uFF61\u0964\u0965\u104B\u17D4\u1362\n\u300D\u300F\u201D\u2019)])"
+    r"|(?<=\n)(?=[^\n])"
+)
+# Scripts written without blanks: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = (
+    r"\u0E01-\u0EFF\u0F00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3041-\u30FF\u3400-\u4DBF"
+    r"\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF"
+)
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+WORD = re.compile(rf"[{UNSPACED}]|[^ \t-\r{UNSPACED}]+")
+
+# Longer sentences, in words, are cut into clauses of at most ``WINDOW`` words.
+LONG, WINDOW = 48, 6
 
 # Stands for a null key, which counts as the smallest.
 NULL_KEY = -(1 << 63)
 
 
+def word_count(sentence: str, split: list[bytes]) -> int:
+    """The number of words, ``split`` at blanks, or of characters in scripts without blanks."""
+    if sentence.isascii() or not HAS_UNSPACED.search(sentence):
+        return len(split)
+    return sum(1 for _ in WORD.finditer(sentence))
+
+
+def clauses_of(sentence: str) -> list[str]:
+    """A long sentence cut before the least pair of words of every ``WINDOW``; others as they are."""
+    # fewer characters cannot hold more words
+    if len(sentence) <= LONG:
+        return [sentence]
+    found = list(WORD.finditer(sentence))
+    if len(found) <= LONG:
+        return [sentence]
+    plain = [m.group().encode().lower() for m in found]
+    pairs = [b" ".join(p) for p in zip(plain, plain[1:], strict=False)]
+    hashes = np.array([xxhash.xxh64_intdigest(p) for p in pairs], np.uint64)
+    least = sliding_window_view(hashes, WINDOW).argmin(axis=1) + np.arange(len(hashes) - WINDOW + 1)
+    ends = [found[i].start() for i in np.unique(least).tolist() if i]
+    return [sentence[x:y] for x, y in zip([0, *ends], [*ends, len(sentence)], strict=True)]
+
+
 def sentences_of(text: str) -> list[str]:
-    """The sentences of a text with the white space around them; joined they are the text."""
-    return SENTENCE_END.split(text) if text else []
+    """The sentences of a text, long ones as clauses, with the white space around them; joined
+    they are the text."""
+    return [c for s in SENTENCE_END.split(text) for c in clauses_of(s)] if text else []
 
 
 def runs_of(
@@ -40,15 +89,16 @@ def runs_of(
     """``(first sentence, end, 128-bit hash)`` of every run."""
     split = [words(s) for s in sentences]
     joined = [b" ".join(w) for w in split]
+    sizes = [word_count(s, w) for s, w in zip(sentences, split, strict=True)]
     found, end, held = [], 0, 0
     for first in range(len(split)):
         while end < len(split) and (end - first < min_sentences or held < min_words):
-            held += len(split[end])
+            held += sizes[end]
             end += 1
         if end - first < min_sentences or held < min_words:
             break
         found.append((first, end, xxhash.xxh3_128_intdigest(b"\n".join(joined[first:end]))))
-        held -= len(split[first])
+        held -= sizes[first]
     return found
 
 
@@ -114,14 +164,19 @@ def drop_repeats(
     Adds ``_removed`` and ``_sentences``, the numbers of sentences removed and seen. ``key`` is an
     integer that identifies a document and orders occurrences; rows that share it are one document
     and lose nothing to each other. A null key counts as the smallest. A null text stays null and
-    has no sentences. Other columns pass through.
+    has no sentences. Other columns pass through; where one has the name of an added column, that
+    one gets an underscore more (``common.free_name``).
     """
     options = {"min_sentences": min_sentences, "min_words": min_words}
     # written first: Spark then knows its size and moves the texts only if it is large
     repeated = cut(repeated_runs(df, key, text, options), "repeated-runs")
+    key_name, runs_name, removed, seen = (
+        free_name(n, df.columns) for n in ("_key", "_runs", "_removed", "_sentences")
+    )
+    repeated = repeated.toDF(key_name, runs_name)
     own_key = F.coalesce(df[key], F.lit(NULL_KEY))
-    joined = df.join(repeated, own_key == repeated["_key"], "left").drop("_key")
-    place, names = df.columns.index(text), [*df.columns, "_removed", "_sentences"]
+    joined = df.join(repeated, own_key == repeated[key_name], "left").drop(key_name)
+    place, names = df.columns.index(text), [*df.columns, removed, seen]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -138,9 +193,8 @@ def drop_repeats(
                 columns.append(pa.array([n for _, _, n in found], pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = df.select(*df.columns, F.lit(0).cast("long").alias("_removed")).withColumn(
-        "_sentences", F.lit(0).cast("long")
-    ).schema
+    number = F.lit(0).cast("long")
+    schema = df.select(*df.columns, number.alias(removed), number.alias(seen)).schema
     for field in schema:
         field.nullable = True
     return joined.mapInArrow(run, schema)
