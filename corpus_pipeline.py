@@ -3,7 +3,7 @@
 Every stage takes ``(spark, docs, sf_dir)``. All but the last keep the columns of ``docs``, with
 ``n_chars`` brought up to date where a text was cut. A document of which nothing is left goes.
 Null texts and texts without letters go in the first stage. Columns beside ``doc_id``, ``text``,
-``lang``, ``source`` and ``n_chars`` pass through untouched.
+``lang``, ``source`` and ``n_chars`` pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,16 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, language, likeness, lines, packing, substring
-from threadloom.llm.common import cut
+from threadloom.llm import bpe, language, lines, packing, simhash, substring
+from threadloom.llm.common import cut, free_name
 from threadloom.llm.queries import WORD_VOCABULARY, with_crc
 
 # A text whose likeliest language has a smaller share of its words is rejected.
 MIN_SCORE = 0.4
+# Near duplicates: words of a shingle, and bits in which linked fingerprints may differ.
+SHINGLE, RADIUS = 3, 2
 
 
-def _tidied(cleaned: DataFrame, removed: str, columns: list[str]) -> DataFrame:
-    """The original columns, without documents that lost everything."""
+def _tidied(cleaned: DataFrame, added: str, columns: list[str]) -> DataFrame:
+    """The original columns, without documents that lost everything; ``added`` is the operator's
+    count of what it took."""
+    removed = free_name(added, columns)
     left = (F.col(removed) == 0) | (F.trim("text") != "")
     kept = cleaned.where(F.coalesce(left, F.lit(True)))
     if "n_chars" in columns:
@@ -41,25 +45,24 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of near-duplicates the document with the least id.
+    """Keep of each SimHash group the document with the least id, a null id before all others.
 
-    Links are pairs whose five-word shingle sets have a likeness of 0.8 or more, each confirmed exactly.
-
-    Rows with equal ids and different texts are different documents; of equal rows one stays.
+    Rows with equal ids and different texts are different documents, of which the one with the
+    least hash stands first; so it is with rows that differ in another column only. Of rows that
+    are equal throughout one stays.
     """
-    mark = F.xxhash64("doc_id", "text")
-    keyed = docs.select(F.struct("doc_id", mark.alias("mark")).alias("own"), "text")
-    found = likeness.near_duplicates(keyed, key="own")
-    first = cut(
-        found.where("own = component").select(
-            F.col("own.doc_id").alias("_id"), F.col("own.mark").alias("_own_mark")
-        ).distinct(),
-        "first-of-group",
-    )
-    marked = docs.withColumn("_mark", mark)
-    same = (F.col("_mark") == F.col("_own_mark")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    kept = marked.join(first, same, "left_semi").dropDuplicates(["_mark", "doc_id"])
-    return kept.select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    mark = F.xxhash64("doc_id", "text").alias("mark")
+    whole = F.xxhash64(F.lit("row"), "doc_id", "text", rest).alias("whole")
+    keyed = docs.select(F.struct("doc_id", mark, whole).alias("own"), "text")
+    found = simhash.near_duplicates(keyed, shingle=SHINGLE, radius=RADIUS, key="own")
+    first = found.where("own = component").select("own.mark", "own.whole").distinct()
+    first = cut(first, "first-of-group")
+    # the caller's columns lie in a struct, where no name can clash
+    rows = docs.select(F.struct("*").alias("row"), mark, whole)
+    kept = rows.join(first, ["mark", "whole"], "left_semi").dropDuplicates(["mark", "whole"])
+    return kept.select("row.*")
 
 
 def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
