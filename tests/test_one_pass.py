@@ -1,0 +1,83 @@
+"""Good rows and rejected pieces come from one pass over the files."""
+
+import pytest
+
+from tests.archive import comment, comments_frame, post, posts_frame
+from tests.test_jobs import dump
+from threadloom.plans import load_both, load_posts
+from threadloom.sinks import write_table
+from threadloom.sources import read_table
+
+BAD = ['<row Id="6"/><row Id="7"/>', '<row Id="8" Id="9"/>', "no row at all"]
+
+
+def text_scans(spark, since=0):
+    """SQL executions that read a text file, and the number of all executions."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    found = store.executionsList()
+    plans = [found.apply(i).physicalPlanDescription() for i in range(found.size())]
+    return sum("Scan text" in p for p in plans[since:]), len(plans)
+
+
+@pytest.fixture
+def dumps(spark, tmp_path):
+    posts = dump(spark, tmp_path, "post", posts_frame(spark, [post("1", "1"), post("2", "2", "1")]), BAD)
+    comments = dump(spark, tmp_path, "comment", comments_frame(spark, [comment("c", "1")]), BAD[:1])
+    return posts, comments
+
+
+@pytest.mark.parametrize("by_line", [False, True])
+@pytest.mark.parametrize("catalog", [False, True])
+def test_rejects_cost_no_second_parse(spark, tmp_path, dumps, by_line, catalog):
+    if catalog:
+        spark.sql("CREATE DATABASE IF NOT EXISTS onepass")
+    base = str(tmp_path / "tables")
+    where = {"database": "onepass"} if catalog else {"base": base}
+    _, before = text_scans(spark)
+    report = load_both(spark, *dumps, one_row_per_line=by_line, **where)
+    assert text_scans(spark, before)[0] == 2
+    for name, path in zip(("post", "comment"), dumps):
+        if catalog:
+            bad, rows = spark.table(f"onepass.{name}_rejects"), spark.table(f"onepass.{name}")
+            marks = spark.table(f"onepass.{name}_versions").select("version").distinct().collect()
+            assert not [r for r in marks if r[0].endswith("aside")]
+        else:
+            bad, rows = spark.read.parquet(f"{base}/{name}_rejects"), read_table(spark, base, name)
+        assert bad.columns == ["line", "reason"] and "reason" not in rows.columns
+        assert bad.count() == report.scans[name]["rejected"]
+        # two rows on one line are good unless lines are rows
+        assert (bad.count() > 0) == (name == "post" or by_line)
+        n_rows = report.scans[name]["lines"] - report.scans[name]["rejected"]
+        assert rows.count() == n_rows > 0
+
+
+def test_nothing_but_rejects_and_no_rejects(spark, tmp_path):
+    base, path = str(tmp_path / "tables"), tmp_path / "posts.xml"
+    path.write_text("\n".join(BAD))
+    load_posts(spark, str(path), base, one_row_per_line=True)
+    assert read_table(spark, base, "post").count() == 0
+    assert spark.read.parquet(f"{base}/post_rejects").count() == 3
+    path.write_text('<row Id="1" PostTypeId="1"/>')
+    load_posts(spark, str(path), base, one_row_per_line=True, strict=True)
+    assert read_table(spark, base, "post").count() == 1
+    assert spark.read.parquet(f"{base}/post_rejects").count() == 0
+
+
+def test_required_columns_bind_good_rows_only(spark, tmp_path):
+    """A rejected piece has no id; a good row without one is the table's own matter."""
+    base, path = str(tmp_path / "tables"), tmp_path / "posts.xml"
+    path.write_text('<posts>\n<row Id="1" PostTypeId="1"/>\n<row Id="2" Id="2"/>\n</posts>')
+    load_posts(spark, str(path), base)
+    assert [r["id"] for r in read_table(spark, base, "post").collect()] == ["1"]
+    assert [r["reason"] for r in spark.read.parquet(f"{base}/post_rejects").collect()] == ["corrupt"]
+
+
+def test_catalog_versions_of_both_kinds(spark, dumps):
+    """A table written before without rejects, and after a load with them, keeps its rows apart."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS kinds")
+    write_table(posts_frame(spark, [post("1", "1")]), "post", database="kinds")
+    columns = spark.table("kinds.post").columns
+    load_posts(spark, dumps[0], database="kinds", one_row_per_line=True)
+    assert spark.table("kinds.post").columns == columns and spark.table("kinds.post").count() == 2
+    write_table(posts_frame(spark, [post("1", "1")]), "post", database="kinds")
+    assert spark.table("kinds.post").count() == 1 and spark.table("kinds.post_rejects").count() == 3

@@ -13,6 +13,9 @@ view that reads that partition. Replacing ``current_versions`` is one statement
 What a run leaves behind, finished or broken off, goes when the next one starts: versions that the
 pointer does not name. So the tables of the run before stay readable for queries that began on
 them. One run at a time may write below a path or into a database.
+
+A write may put rows aside: rows that are not the table's, and that a later step of the same run
+wants. They go to a folder or partition of their own in the same pass, until the run drops them.
 """
 
 from __future__ import annotations
@@ -23,14 +26,22 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from threadloom.session import file_system
+from threadloom.session import file_system, unsorted_writes
 
 POINTERS, VERSIONS = "_generations", "_versions"
 CATALOG_POINTER = "current_versions"
 VERSION = "version"
+# The folder level that parts the rows of a table from those put aside.
+OUTCOME, ROWS, ASIDE = "outcome", "rows", "aside"
+
+
+def _is_aside(aside: T.StructType) -> Column:
+    """Rows put aside are those with a value in a column that the table doesn't have."""
+    return F.coalesce(*(F.col(c).cast("string") for c in aside.names)).isNotNull()
 
 
 def _numbered_pointers(spark: SparkSession, base: str) -> list[tuple[int, str]]:
@@ -44,8 +55,8 @@ def _numbered_pointers(spark: SparkSession, base: str) -> list[tuple[int, str]]:
     return sorted((int(n), f"{folder}/{n}.json") for n in numbers if n.isdigit())
 
 
-def current_paths(spark: SparkSession, base: str) -> dict[str, str]:
-    """The folder of every table below ``base`` that was replaced by a switch."""
+def _named(spark: SparkSession, base: str) -> dict[str, str]:
+    """The tables that the pointer names, with their folders below ``_versions``."""
     pointers = _numbered_pointers(spark, base)
     if not pointers:
         return {}
@@ -55,8 +66,13 @@ def current_paths(spark: SparkSession, base: str) -> dict[str, str]:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+    return json.loads(text)["tables"]
+
+
+def current_paths(spark: SparkSession, base: str) -> dict[str, str]:
+    """The folder of every table below ``base`` that was replaced by a switch."""
     root = f"{base.rstrip('/')}/{VERSIONS}"
-    return {table: f"{root}/{name}" for table, name in json.loads(text)["tables"].items()}
+    return {table: f"{root}/{name}" for table, name in _named(spark, base).items()}
 
 
 def current_path(spark: SparkSession, base: str, table: str) -> str:
@@ -80,7 +96,7 @@ class PathGeneration:
     def tidy(self) -> None:
         """Remove what the pointer does not name: versions, older pointers, unfinished ones."""
         pointers = _numbered_pointers(self.spark, self.base)
-        named = {path.rsplit("/", 1)[1] for path in current_paths(self.spark, self.base).values()}
+        named = {name.split("/")[0] for name in _named(self.spark, self.base).values()}
         kept = {path.rsplit("/", 1)[1] for _, path in pointers[-1:]}
         for folder, keep in ((VERSIONS, named), (POINTERS, kept)):
             system, path = file_system(self.spark, f"{self.base}/{folder}")
@@ -88,19 +104,58 @@ class PathGeneration:
                 if status.getPath().getName() not in keep:
                     system.delete(status.getPath(), True)
 
+    def _version(self, table: str) -> str:
+        """The folder that one write of a table made, with what it put aside."""
+        return f"{self.base}/{VERSIONS}/{self.staged[table].split('/')[0]}"
+
+    def _delete(self, folder: str) -> None:
+        system, path = file_system(self.spark, folder)
+        system.delete(path, True)
+
+    def _read(self, folder: str, schema: T.StructType) -> DataFrame:
+        """A folder's rows; Spark writes no folder for a part without rows."""
+        system, path = file_system(self.spark, folder)
+        if not system.exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
+
     def stage(
-        self, df: DataFrame, table: str, kind: str | None = None, check: Callable[[], None] | None = None
+        self,
+        df: DataFrame,
+        table: str,
+        kind: str | None = None,
+        check: Callable[[], None] | None = None,
+        aside: T.StructType | None = None,
     ) -> None:
-        """Write a new table that nobody reads before the switch."""
+        """Write a new table that nobody reads before the switch. With ``aside``, columns that the
+        table doesn't have, rows with a value in one of them are put aside."""
         self.staged[table] = f"{table}-{self.mark}"
-        df.write.parquet(self.path(table))
+        if aside is None:
+            df.write.parquet(self.path(table))
+        else:
+            version = self._version(table)
+            self.staged[table] += f"/{OUTCOME}={ROWS}"
+            outcome = F.when(_is_aside(aside), ASIDE).otherwise(ROWS)
+            with unsorted_writes(self.spark):
+                df.withColumn(OUTCOME, outcome).write.partitionBy(OUTCOME).parquet(version)
+            system, path = file_system(self.spark, self.path(table))
+            if not system.exists(path):
+                self.spark.createDataFrame([], df.schema).write.parquet(self.path(table))
         if check:
             check()
 
-    def read(self, table: str, schema) -> DataFrame:
+    def read(self, table: str, schema: T.StructType) -> DataFrame:
         """The new table, before the switch."""
         return self.spark.read.schema(schema).parquet(self.path(table))
 
+    def read_aside(self, table: str, schema: T.StructType) -> DataFrame:
+        """What the table's write put aside."""
+        return self._read(f"{self._version(table)}/{OUTCOME}={ASIDE}", schema)
+
+    def drop_aside(self, table: str) -> None:
+        """Remove what the table's write put aside."""
+        self._delete(f"{self._version(table)}/{OUTCOME}={ASIDE}")
+
     def publish(self, table: str) -> None:
         """Copy the table to a plain folder too, after the switch, for readers that go by path."""
         self.plain.append(table)
@@ -119,8 +174,7 @@ class PathGeneration:
     def switch(self) -> None:
         """Show all new tables at once; tables that were not written stay as they are."""
         pointers = _numbered_pointers(self.spark, self.base)
-        before = current_paths(self.spark, self.base)
-        tables = {table: path.rsplit("/", 1)[1] for table, path in before.items()} | self.staged
+        tables = _named(self.spark, self.base) | self.staged
         self._point(pointers[-1][0] + 1 if pointers else 1, tables)
         for table in self.plain:
             self.spark.read.parquet(self.path(table)).write.mode("overwrite").parquet(f"{self.base}/{table}")
@@ -128,8 +182,7 @@ class PathGeneration:
     def give_up(self) -> None:
         """Remove what was written; the tables stay as they were."""
         for table in self.staged:
-            system, path = file_system(self.spark, self.path(table))
-            system.delete(path, True)
+            self._delete(self._version(table))
 
 
 class CatalogGeneration:
@@ -171,22 +224,57 @@ class CatalogGeneration:
             elif table.name.endswith("_former") and kept:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{table.name}")
 
+    def _fitted(self, df: DataFrame, versions: str) -> DataFrame:
+        """The rows with all columns of the stored versions, which get those that only the rows
+        have: some writes put rows aside and others don't."""
+        if not self.spark.catalog.tableExists(versions):
+            return df
+        stored = self.spark.table(versions).drop(VERSION).schema
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in stored.names]
+        if new:
+            self.spark.sql(f"ALTER TABLE {versions} ADD COLUMNS ({', '.join(new)})")
+        lacking = {f.name: F.lit(None).cast(f.dataType) for f in stored if f.name not in df.columns}
+        return df.withColumns(lacking)
+
     def stage(
-        self, df: DataFrame, table: str, kind: str | None = None, check: Callable[[], None] | None = None
+        self,
+        df: DataFrame,
+        table: str,
+        kind: str | None = None,
+        check: Callable[[], None] | None = None,
+        aside: T.StructType | None = None,
     ) -> None:
         """Write a new table that nobody reads before the switch. ``kind`` tells tables of one name
-        and different columns apart."""
-        self.staged[table], self.columns[table] = f"{kind or table}_versions", df.columns
-        marked = df.withColumn(VERSION, F.lit(self.mark))
-        writer = marked.write.format("parquet").mode("append").partitionBy(VERSION)
-        writer.saveAsTable(f"{self.database}.{self.staged[table]}")
+        and different columns apart. With ``aside``, columns that the table doesn't have, rows with
+        a value in one of them are put aside."""
+        hidden = [] if aside is None else aside.names
+        self.staged[table] = f"{kind or table}_versions"
+        self.columns[table] = [c for c in df.columns if c not in hidden]
+        versions = f"{self.database}.{self.staged[table]}"
+        mark = F.lit(self.mark)
+        if aside is not None:
+            mark = F.when(_is_aside(aside), f"{self.mark}-{ASIDE}").otherwise(self.mark)
+        marked = self._fitted(df, versions).withColumn(VERSION, mark)
+        with unsorted_writes(self.spark):
+            marked.write.format("parquet").mode("append").partitionBy(VERSION).saveAsTable(versions)
         if check:
             check()
 
-    def read(self, table: str, schema) -> DataFrame:
-        """The new table, before the switch."""
+    def _read(self, table: str, mark: str, schema: T.StructType) -> DataFrame:
         versions = self.spark.table(f"{self.database}.{self.staged[table]}")
-        return versions.where(F.col(VERSION) == self.mark).drop(VERSION)
+        return versions.where(F.col(VERSION) == mark).select(*schema.names)
+
+    def read(self, table: str, schema: T.StructType) -> DataFrame:
+        """The new table, before the switch."""
+        return self._read(table, self.mark, schema)
+
+    def read_aside(self, table: str, schema: T.StructType) -> DataFrame:
+        """What the table's write put aside."""
+        return self._read(table, f"{self.mark}-{ASIDE}", schema)
+
+    def drop_aside(self, table: str) -> None:
+        """Remove what the table's write put aside."""
+        self._forget(self.staged[table], f"{self.mark}-{ASIDE}")
 
     def publish(self, table: str) -> None:
         """A table of a catalog has no plain folder."""
@@ -223,6 +311,7 @@ class CatalogGeneration:
         for versions in set(self.staged.values()):
             if self.spark.catalog.tableExists(f"{self.database}.{versions}"):
                 self._forget(versions, self.mark)
+                self._forget(versions, f"{self.mark}-{ASIDE}")
 
 
 Generation = PathGeneration | CatalogGeneration

@@ -25,6 +25,10 @@ def _in_threads() -> Column:
     return F.coalesce(F.col("pos_type_id").isin(QUESTION, ANSWER), F.lit(False))
 
 
+def _among(condition: Column, among: Column | None) -> Column:
+    return condition if among is None else among & condition
+
+
 def unsupported_posts(posts: DataFrame) -> DataFrame:
     """Posts of a type, or without a type, that no thread takes in."""
     return posts.where(~_in_threads())
@@ -45,18 +49,20 @@ def null_key_comments(comments: DataFrame) -> DataFrame:
     return comments.where(F.col("post_id").isNull())
 
 
-def require_keys(posts: DataFrame) -> DataFrame:
-    """Strict mode: the posts unchanged, but a post that cannot be keyed fails the job."""
+def require_keys(posts: DataFrame, among: Column | None = None) -> DataFrame:
+    """Strict mode: the posts unchanged, but a post that cannot be keyed fails the job. ``among``
+    tells the rows to look at, all by default."""
     which = F.coalesce("id", F.lit("no id"))
     complaint = F.raise_error(F.concat(F.lit("post without key or type: "), which))
-    return posts.where(F.when(_null_key(), complaint.cast("boolean")).otherwise(True))
+    return posts.where(F.when(_among(_null_key(), among), complaint.cast("boolean")).otherwise(True))
 
 
-def require_comment_keys(comments: DataFrame) -> DataFrame:
-    """Strict mode: the comments unchanged, but a comment that names no post fails the job."""
+def require_comment_keys(comments: DataFrame, among: Column | None = None) -> DataFrame:
+    """Strict mode: the comments unchanged, but a comment that names no post fails the job; see
+    :func:`require_keys`."""
     which = F.coalesce("id", F.lit("no id"))
     complaint = F.raise_error(F.concat(F.lit("comment without post: "), which))
-    no_post = F.col("post_id").isNull()
+    no_post = _among(F.col("post_id").isNull(), among)
     return comments.where(F.when(no_post, complaint.cast("boolean")).otherwise(True))
 
 
@@ -67,11 +73,11 @@ def multi_question_keys(posts: DataFrame, key: Column | None = None) -> DataFram
     return counts.where("n_questions > 1")
 
 
-def routing_counts() -> list[Column]:
-    """Row-level counts for ``DataFrame.observe`` on posts."""
+def routing_counts(among: Column | None = None) -> list[Column]:
+    """Row-level counts for ``DataFrame.observe`` on posts, of those that ``among`` tells."""
     return [
-        F.count_if(~_in_threads()).alias("unsupported_type"),
-        F.count_if(_null_key()).alias("null_key_posts"),
+        F.count_if(_among(~_in_threads(), among)).alias("unsupported_type"),
+        F.count_if(_among(_null_key(), among)).alias("null_key_posts"),
     ]
 
 

@@ -23,9 +23,9 @@ from threadloom.operators.routing import sample_lines
 from threadloom.operators.threads import build_threads
 from threadloom.schemas import entity
 from threadloom.session import job_folder, sized_shuffle, stored_bytes
-from threadloom.sinks import stage_rejects, stage_table
+from threadloom.sinks import stage_rejects, stage_scan, stage_table
+from threadloom.sinks.tables import ASIDE
 from threadloom.sources import (
-    accepted,
     head_counts,
     is_rejected,
     read_lines,
@@ -62,26 +62,24 @@ def _load(
     alias_editor: bool = False,
     **layout,
 ) -> None:
-    """Stage one typed table and its rejects; counts come from the same pass that writes it."""
+    """Stage one typed table and its rejects. One pass over the file writes the table, counts, and
+    puts aside the lines that are no good rows, of which the rejects are made."""
     scan = scan_rows(spark, path, name, strict=strict, alias_editor=alias_editor, **layout)
     typed = type_records(scan, name, strict=strict, alias_editor=alias_editor)
-    seen = Observation()
+    seen, good = Observation(), F.col("reason").isNull()
     typed = typed.observe(
         seen,
         F.count("*").alias("pieces"),
         F.count_if(is_rejected()).alias("rejected"),
         *head_counts(),
-        F.count_if(F.col("reason").isNull() & (F.col("bad_values") > 0)).alias(
-            "rows_with_bad_values"
-        ),
+        F.count_if(good & (F.col("bad_values") > 0)).alias("rows_with_bad_values"),
     )
-    rows = accepted(typed)
     routed = None
     if strict:
-        rows = require_keys(rows) if name == "post" else require_comment_keys(rows)
+        typed = (require_keys if name == "post" else require_comment_keys)(typed, good)
     if name == "post":
         routed = Observation()
-        rows = rows.observe(routed, *routing_counts())
+        typed = typed.observe(routed, *routing_counts(good))
 
     def broken_heads() -> int:
         return seen.get["heads"] - seen.get["headed_files"]
@@ -90,7 +88,7 @@ def _load(
         if strict and broken_heads():
             raise ValueError(f"{path}: {broken_heads()} broken rows without content")
 
-    stage_table(new, rows, name, check=check)
+    stage_scan(new, typed, name, check=check)
     counts = seen.get
     report.scans[name] = {
         "lines": counts["pieces"] - counts["headed_files"],
@@ -99,11 +97,8 @@ def _load(
     }
     if routed is not None:
         report.quality.update(routed.get)
-    # replaced by an empty table after a clean run, without another scan
-    bad = rejects(scan)
-    clean = not report.scans[name]["rejected"]
-    rejected = spark.createDataFrame([], bad.schema) if clean else bad
-    stage_rejects(new, rejected, name)
+    stage_rejects(new, rejects(new.read_aside(name, ASIDE)), name)
+    new.drop_aside(name)
 
 
 def load_posts(

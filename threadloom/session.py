@@ -79,6 +79,19 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession, files: int = 2):
+    """Let a task keep ``files`` output files open, for the enclosed writes into as many partitions;
+    else Spark sorts whole rows by the partition first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), files)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextmanager
 def sized_shuffle(spark: SparkSession, nbytes: int):
     """Raise the number of shuffle partitions, for the enclosed actions, to fit the data, up to

@@ -5,6 +5,7 @@ from threadloom.sinks.tables import (
     export_json,
     missing_required,
     stage_rejects,
+    stage_scan,
     stage_table,
     write_rejects,
     write_table,
@@ -15,6 +16,7 @@ __all__ = [
     "export_json",
     "missing_required",
     "stage_rejects",
+    "stage_scan",
     "stage_table",
     "write_rejects",
     "write_table",

@@ -15,17 +15,27 @@ from threadloom.schemas import entity
 from threadloom.generations import Generation, generation
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """The entity's columns in table order and type; a null in a required one fails the write."""
+# What is kept of a piece that is no good row.
+ASIDE = T.StructType([T.StructField(c, T.StringType()) for c in ("line", "reason", "file")])
+
+
+def conform(df: DataFrame, name: str, among: Column | None = None) -> DataFrame:
+    """The entity's columns in table order and type; a null in a required one fails the write, of
+    rows that ``among`` tells, of all by default."""
+    return df.select(*_conformed(name, among))
+
+
+def _conformed(name: str, among: Column | None = None) -> list[Column]:
     spec = entity(name)
     columns = []
     for field in spec.schema.fields:
         value = F.col(field.name)
         if field.name in spec.required:
             complaint = F.raise_error(F.lit(f"{name}.{field.name} is required"))
-            value = F.when(value.isNull(), complaint).otherwise(value)
+            lacking = value.isNull() if among is None else among & value.isNull()
+            value = F.when(lacking, complaint).otherwise(value)
         columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    return columns
 
 
 def missing_required(df: DataFrame, name: str) -> DataFrame:
@@ -64,6 +74,17 @@ def stage_table(
     new.stage(conform(df, name), table or name, name, check)
 
 
+def stage_scan(
+    new: Generation, typed: DataFrame, name: str, *, check: Callable[[], None] | None = None
+) -> None:
+    """:func:`stage_table` for the good rows of a typed scan. All other pieces are put aside by the
+    same write, as ``line``, ``reason`` and ``file``, so that no file is parsed again for them."""
+    good = F.col("reason").isNull()
+    kept = [F.when(~good, F.col(c)).alias(c) for c in ASIDE.names]
+    rows = typed.select(*_conformed(name, good), *kept)
+    new.stage(rows, name, name, check, aside=ASIDE)
+
+
 def stage_rejects(new: Generation, rejected: DataFrame, name: str) -> None:
     """Put the entity's table of rejected lines into a generation. Below a path it is copied to the
     plain folder ``<name>_rejects`` as well, for reading without this package."""

@@ -140,7 +140,7 @@ def head_counts() -> list[Column]:
 
 def rejects(scan: DataFrame) -> DataFrame:
     """The lines of a scan that are not good rows, with the reason; of the heads of one file, all
-    but one."""
+    but one. What a job put aside (``sinks.stage_scan``) does for the scan."""
     bad = scan.where(is_rejected()).select("line", "reason")
     heads = scan.where("reason = 'head'").groupBy("file").agg(
         F.min("line").alias("line"), (F.count("*") - 1).cast("int").alias("extra")
@@ -168,7 +168,7 @@ def type_records(
     """Convert a scan's attribute texts to the entity's columns.
 
     Adds ``bad_values``, the number of texts that could not be converted and became null, and
-    keeps ``reason`` and ``file``.
+    keeps ``line``, ``reason`` and ``file``.
     """
     types = {column: dtype for column, _, dtype in entity(name).fields}
     texts, columns = [], []
@@ -178,7 +178,7 @@ def type_records(
         columns.append(_convert(text, types[column], strict).alias(column))
     if name == "post":
         columns.append(empty_array(COMMENT_LIST).alias("comments"))
-    typed = scan.select("reason", "file", "record", *columns)
+    typed = scan.select("line", "reason", "file", "record", *columns)
     lost = [
         (text.isNotNull() & F.col(column).isNull()).cast("int")
         for text, column in texts
@@ -190,4 +190,4 @@ def type_records(
 
 def accepted(typed: DataFrame) -> DataFrame:
     """The good rows of typed records, without the bookkeeping columns."""
-    return typed.where(F.col("reason").isNull()).drop("reason", "file", "bad_values")
+    return typed.where(F.col("reason").isNull()).drop("line", "reason", "file", "bad_values")
