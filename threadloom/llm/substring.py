@@ -134,7 +134,8 @@ def repeated_runs(df: DataFrame, key: str, text: str, options: dict) -> DataFram
             yield owners, high, low
 
     keyed = df.select(F.coalesce(key, F.lit(NULL_KEY)).alias("key"), text_of(text).alias("text"))
-    runs = map_batches(keyed, task, "key long, high long, low long")
+    # written, since counting and looking up both read them: runs are hashed once
+    runs = cut(map_batches(keyed, task, "key long, high long, low long"), "runs")
     counted = runs.groupBy("high", "low").agg(
         F.count("*").alias("n"), F.min("key").alias("first_key")
     )
