@@ -26,13 +26,14 @@ from threadloom.operators import quality, routing
 from threadloom.operators.duplicates import first_posts, repeated_ids
 from threadloom.operators.groups import co_group, group_by_key
 from threadloom.operators.rows import comment_row, post_row, thread_row
+from threadloom.operators.skew import MAX_GROUP
 from threadloom.operators.threads import (
     build_threads,
     flatten_threads,
     missing_question_keys,
     orphan_answers,
 )
-from threadloom.schemas import COMMENT_LIST
+from threadloom.schemas import COMMENT_LIST, ROW_ID
 from threadloom.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -588,9 +589,15 @@ def _hot_comments(spark, sf_dir):
     HOT_COMMENTS,
 )
 def e2_nest_hot_comments(spark, sf_dir):
-    nested = nesting.nest_comments(A.star_posts(spark, sf_dir), _hot_comments(spark, sf_dir))
+    posts, comments = A.star_posts(spark, sf_dir), _hot_comments(spark, sf_dir)
+    # the hot posts outgrow one row, so they come in parts
+    nested = nesting.nest_comments(posts, comments, max_group=MAX_GROUP)
     ids = F.col("comments.id")
-    return nested.select("id", F.size(ids).alias("n_comments"), F.array_min(ids).alias("least"))
+    parts = nested.select("id", ROW_ID, F.size(ids).alias("n"), F.array_min(ids).alias("least"))
+    whole = parts.groupBy("id", ROW_ID).agg(
+        F.sum("n").cast("int").alias("n_comments"), F.min("least").alias("least")
+    )
+    return whole.drop(ROW_ID)
 
 
 @query(
