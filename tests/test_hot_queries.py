@@ -54,3 +54,9 @@ def test_hot_comments(spark, tables):
     assert len(rows) == 2 + ANSWERS + 1
     assert [rows[i]["n_comments"] for i in ("o1", "c1", "o2", "o3")] == [100, 100, 100, 0]
     assert [rows[i]["least"] for i in ("o1", "c1", "o3")] == ["2-1-0", "2-1-1", None]
+
+
+def test_hot_thread(spark, tables):
+    found = {r["thread_key"]: r for r in QUERIES["e4_hot_thread"](spark, tables).collect()}
+    assert tuple(found["c1"]) == ("c1", ANSWERS, "o1", 200, 100)
+    assert tuple(found["c2"]) == ("c2", 0, None, 0, 0)

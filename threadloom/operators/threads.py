@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions import empty_array, map_array, or_empty, ordered_list
+from threadloom.functions import empty_array, or_empty, ordered_list
 from threadloom.operators.comments import comment_lists, comments_per_post
 from threadloom.operators.duplicates import first_posts, post_order
 from threadloom.operators.listing import (
@@ -257,34 +257,48 @@ def _listed(
     ]
     if with_comments:
         lists = comment_lists(comments, slices, heavy).withColumnRenamed("slice", "_slice")
-        homes = rows.select("thread_key", "part", "id", "slice")
+        homes = rows.where(is_question() | is_answer()).select(
+            "thread_key", "part", "id", "slice", "creation_date", is_question().alias("asks")
+        )
         at_home = homes["id"] == lists["post_id"]
         if slices is not None:
             at_home = at_home & (homes["slice"] == lists["_slice"])
-        entry = F.struct(F.struct("id", "slice"), "comments").alias("entry")
-        located = homes.join(lists, at_home).select("thread_key", "part", entry)
+        # every answer has an entry, so that these lists, in the answers' order, stand beside them
+        located = homes.join(lists, at_home, "left").select(
+            "thread_key",
+            "part",
+            F.when(F.col("asks"), F.struct("id", "slice", "comments")).alias("own"),
+            F.when(~F.col("asks"), F.struct("creation_date", "id", "slice", "comments")).alias("beside"),
+        )
         parts = parts.unionByName(located, allowMissingColumns=True)
-        aggregates.append(F.map_from_entries(F.collect_list("entry")).alias("lists"))
+        aggregates += [
+            F.collect_list("own").alias("own"),
+            # an id and slice are there once, so sorting never looks at the comments
+            F.sort_array(F.collect_list("beside"))["comments"].alias("beside"),
+        ]
 
     keys = ["thread_key", "part"] if split else ["thread_key"]
     grouped = group_divided((parts, keys), "part", *aggregates)
 
-    def whole(member: Column) -> Column:
-        """A collected post, with its comments looked up."""
-        if not with_comments:
-            return member["post"]
-        own = F.element_at("lists", F.struct(member["id"], member["slice"]))
+    def whole(member: Column, comments: Column) -> Column:
+        """A collected post with its comments."""
         scalars = [member["post"][c].alias(c) for c in POST_SCALARS]
-        return F.struct(*scalars, or_empty(own, COMMENT_LIST).alias("comments"))
+        return F.struct(*scalars, or_empty(comments, COMMENT_LIST).alias("comments"))
 
+    question, answers = F.col("q.post"), F.col("a.post")
+    if with_comments:
+        # of several questions with one key only the last appears
+        same = lambda x: (x["id"] == F.col("q.id")) & (x["slice"] == F.col("q.slice"))
+        question = whole(F.col("q"), F.get(F.filter("own", same), F.lit(0))["comments"])
+        answers = F.zip_with("a", "beside", whole)
     listed = F.size("a")
     return grouped.select(
         "thread_key",
         "part",
         (F.coalesce("max__parts", F.lit(1)) if split else F.lit(1)).alias("n_parts"),
         (F.coalesce("max_n_answers", listed) if split else listed).alias("n_answers"),
-        F.when(F.col("q").isNotNull(), whole(F.col("q"))).alias("question"),
-        (map_array("a", whole) if with_comments else F.col("a.post")).alias("answers"),
+        F.when(F.col("q").isNotNull(), question).alias("question"),
+        answers.alias("answers"),
     )
 
 

@@ -614,14 +614,21 @@ def e2_nest_hot_comments(spark, sf_dir):
     HOT_COMMENTS,
 )
 def e4_hot_thread(spark, sf_dir):
-    threads = build_threads(_hot_posts(spark, sf_dir), _hot_comments(spark, sf_dir))
-    return threads.select(
+    posts, comments = _hot_posts(spark, sf_dir), _hot_comments(spark, sf_dir)
+    # the hot thread outgrows one row, so it comes in parts
+    parts = build_threads(posts, comments, max_group=MAX_GROUP).select(
         "thread_key",
         "n_answers",
         F.array_min("answers.id").alias("least"),
         F.size(F.flatten("answers.comments")).alias("answer_comments"),
         F.size("question.comments").alias("question_comments"),
     )
+    return parts.groupBy("thread_key").agg(
+        F.max("n_answers").alias("n_answers"),
+        F.min("least").alias("least"),
+        F.sum("answer_comments").cast("int").alias("answer_comments"),
+        F.sum("question_comments").cast("int").alias("question_comments"),
+    )
 
 
 @query(
