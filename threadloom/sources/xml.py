@@ -15,6 +15,7 @@ fail the whole scan.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import add
 
@@ -70,13 +71,21 @@ def _lines(spark: SparkSession, path: str, patterns: dict[str, str]) -> DataFram
     return lines.select("value", F.lit(False).alias("is_head"), F.lit("").alias("file"))
 
 
-def _elements(spark: SparkSession, path: str, patterns: dict[str, str], record: str) -> DataFrame:
+def _elements(
+    spark: SparkSession, path: str, patterns: dict[str, str], root: str, record: str
+) -> DataFrame:
     between = read_lines(spark, path, separator=f"<{record}")
-    is_head = F.col("value").rlike(patterns["head"])
-    element = F.concat(F.lit(f"<{record}"), F.regexp_replace("value", patterns["tail"], ""))
+    value = F.col("value")
+    # plain searches spare most pieces the patterns: a head has a tag or is blank, a tail is a tag
+    is_head = (value.contains("<") | ~value.contains("=")) & value.rlike(patterns["head"])
+    body = F.when(value.contains("</"), F.regexp_replace("value", patterns["tail"], "")).otherwise(value)
     pieces = between.select(
-        element.alias("value"), is_head.alias("is_head"), F.col("_metadata.file_path").alias("file")
+        F.concat(F.lit(f"<{record}"), body).alias("value"),
+        is_head.alias("is_head"),
+        F.col("_metadata.file_path").alias("file"),
     )
+    if re.fullmatch(r"[\w|]+", root) and not any(n.startswith(record) for n in root.split("|")):
+        return pieces
     # a root whose name begins like a row's
     return pieces.where(~F.col("value").rlike(patterns["root"]))
 
@@ -104,7 +113,7 @@ def scan_rows(
     if one_row_per_line:
         lines = _lines(spark, path, patterns)
     else:
-        lines = _elements(spark, path, patterns, record)
+        lines = _elements(spark, path, patterns, root, record)
     is_row = value.rlike(patterns["row"])
     bad_line = F.raise_error(F.concat(F.lit("not one XML row: "), value)) if strict else F.lit(None)
     options = {**XML_OPTIONS, "rowTag": record, "mode": "FAILFAST" if strict else "PERMISSIVE"}
