@@ -155,7 +155,9 @@ def xml_lines(df: DataFrame, name: str) -> DataFrame:
     for column, attribute, _ in fields:
         is_date = kinds[column] == "timestamp_ntz"
         text = format_iso(column) if is_date else F.col(column).cast("string")
-        attributes.append(F.concat(F.lit(f'{attribute}="'), _escaped(text), F.lit('"')))
+        # numbers and dates have nothing to escape
+        text = _escaped(text) if kinds[column] == "string" else text
+        attributes.append(F.concat(F.lit(f'{attribute}="'), text, F.lit('"')))
     return df.select(F.concat_ws(" ", F.lit("<row"), *attributes, F.lit("/>")).alias("value"))
 
 

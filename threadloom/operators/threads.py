@@ -250,8 +250,11 @@ def _listed(
         "_order",
         F.when(is_question(), post).alias("q"),
         F.when(is_answer(), post).alias("a"),
+        F.when(is_answer(), True).alias("answered"),
     )
     aggregates = [F.max(c).alias(f"max_{c}") for c in carried] + [
+        # callers that want numbers alone need no lists
+        F.count("answered").cast("int").alias("n_listed"),
         F.max_by("q", "_order").alias("q"),
         ordered_list(F.col("a"), F.col("a.post.creation_date"), F.col("a.id")).alias("a"),
     ]
@@ -291,7 +294,8 @@ def _listed(
         same = lambda x: (x["id"] == F.col("q.id")) & (x["slice"] == F.col("q.slice"))
         question = whole(F.col("q"), F.get(F.filter("own", same), F.lit(0))["comments"])
         answers = F.zip_with("a", "beside", whole)
-    listed = F.size("a")
+
+    listed = F.col("n_listed")
     return grouped.select(
         "thread_key",
         "part",
