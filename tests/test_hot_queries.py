@@ -17,7 +17,7 @@ ANSWERS, COMMENTS = 40, 300
 @pytest.fixture
 def tables(spark, tmp_path, monkeypatch):
     """One hot question, one hot answer; a row holds less than either, a part 20 of a group."""
-    monkeypatch.setattr(listing, "ROW_BYTES", 4096)
+    monkeypatch.setattr(listing, "ROW_BYTES", 2048)
     monkeypatch.setattr(listing, "MAX_GROUP", 20)
     monkeypatch.setattr("threadloom.operators.threads.MAX_GROUP", 20)
     monkeypatch.setattr(catalog, "MAX_GROUP", 20, raising=False)
