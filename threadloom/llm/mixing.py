@@ -4,12 +4,14 @@ Bits of a text's bytes are predicted one after another. For each of several cont
 hashed table holds how often a 0 and a 1 followed; these counts are gathered from every training
 document. Their log-odds are mixed with weights gated by how many of the contexts were ever seen
 and by the bit's place, and an adaptive map over the mixed odds and the last byte refines the
-result. Weights and map are fitted online, in passes over a bounded sample of training documents
-that the tables leave out.
-
-A score is then a function of the text alone: a byte's probability depends on the few bytes before
-it, so tasks keep the ones they have met in a table of fixed size. Tables have fixed sizes too;
-what is counted into them grows with the corpus.
+result. Weights and map are fitted online over every training document as well, each occurrence
+left out of the counts that predict it; parts of the corpus go side by side and are averaged after
+each pass.
+
+A prediction depends on the few bytes before it alone. So equal byte sequences are counted first,
+and tables, weights and map come from these counts; and tasks that score texts keep the ones they
+have met in a table of fixed size. Tables of odds have fixed sizes too; what is counted into them
+grows with the corpus.
 """
 
 from __future__ import annotations
@@ -33,12 +35,13 @@ TABLE_BITS = 21
 CHUNK_BITS = 14
 UNSEEN = -32768
 PRIOR = 0.1
-# Training documents that fit the weights, at most about so many.
-TUNING_DOCS, TUNING_RANGE = 128, 1 << 30
-PASSES, BATCH = 2, 4096
+# Passes of the fit, bytes in a step of it, how far a step moves the map at most.
+PASSES, BATCH, FULL_STEP = 2, 4096, 32
 BUCKETS, LIMIT = 33, 8.0
-# Bytes counted together, places in the table of known bytes, bytes of text in a block.
-COUNTED_TOGETHER, KNOWN_BITS, BLOCK_BYTES = 1 << 21, 21, 1 << 24
+# Bytes counted together, bytes sorted together, places in the table of known bytes, bytes of text
+# in a block, bytes predicted together.
+COUNTED_TOGETHER, SORTED_TOGETHER, KNOWN_BITS, BLOCK_BYTES = 1 << 21, 1 << 24, 22, 1 << 24
+PREDICTED_TOGETHER = 8192
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,18 +55,17 @@ def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """For every byte of the texts, and an end mark after each, the number its last eight bytes
     make, newest on top, so that those with equal ends sort together; and how many each text has."""
     pad = bytes(SPAN - 1)
-    data = np.frombuffer(b"".join([pad + t + b"\0" for t in texts]), np.uint8).astype(np.uint64)
+    data = b"".join([pad + t + b"\0" for t in texts])
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    grams = data[SPAN - 1 :] << np.uint64(56)
-    for back in range(1, SPAN):
-        grams |= data[SPAN - 1 - back : len(data) - back] << np.uint64(56 - 8 * back)
+    # a number at every byte
+    grams = np.ndarray(max(0, len(data) - SPAN + 1), "<u8", data, strides=(1,))
     # the places that lie in the padding before a text
     ends = np.cumsum(lengths + SPAN - 1) - (SPAN - 1)
     keep = np.ones(len(grams), bool)
     for back in range(SPAN - 1):
         places = ends + back
         keep[places[places < len(grams)]] = False
-    return grams[keep], lengths
+    return grams[keep].astype(np.uint64, copy=False), lengths
 
 
 def byte_of(grams: np.ndarray, back: int) -> np.ndarray:
@@ -80,18 +82,24 @@ def word_so_far(grams: np.ndarray) -> np.ndarray:
     return context
 
 
-def slots_of(grams: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each of a byte's eight bits its table slot under a context, and the bit."""
+def nodes_of(grams: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each bit of a predicted byte its place in the half's tree, and the bit."""
+    byte = byte_of(grams, 0).astype(np.int64)
+    for k in range(8):
+        half = byte >> 4 if k < 4 else byte & 15
+        yield 1 << k % 4 | half >> 4 - k % 4, (byte >> 7 - k & 1).astype(bool)
+
+
+def groups_of(grams: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """For each half of a predicted byte the first of its sixteen table slots under a context."""
     if order:
         context = grams << np.uint64(8) >> np.uint64(64 - 8 * order)
     else:
         context = word_so_far(grams)
-    base = mix(context * BASE + np.uint64(order))
-    byte = byte_of(grams, 0)
-    for k in range(8):
-        node = np.uint64(1 << k) | byte >> np.uint64(8 - k)
-        slot = (base + node * BASE) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - TABLE_BITS)
-        yield slot.astype(np.int64), (byte >> np.uint64(7 - k) & np.uint64(1)).astype(bool)
+    base = context * BASE + np.uint64(order)
+    for known in (np.uint64(0), (grams >> np.uint64(60)) + np.uint64(1)):
+        group = mix(base + known * np.uint64(0xD6E8FEB86659FD93)) * BASE >> np.uint64(68 - TABLE_BITS)
+        yield group.astype(np.int64) << 4
 
 
 def grouped(sorted_grams: np.ndarray, times: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,28 +115,41 @@ def lowered(text: str) -> bytes:
     return text.encode().lower()
 
 
+def kinds_of(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones, ascending, and how often each occurs; sorts ``grams`` in place."""
+    grams.sort()
+    starts = np.flatnonzero(grams[1:] != grams[:-1]) + 1
+    starts = np.concatenate([np.zeros(min(1, len(grams)), np.int64), starts])
+    return grams[starts], np.diff(starts, append=len(grams))
+
+
+def added(counts: np.ndarray, kinds: np.ndarray, times: np.ndarray) -> None:
+    """Add to the counts by order, bit and slot; ``kinds`` ascend."""
+    for i, order in enumerate(ORDERS):
+        flat = counts[i].reshape(-1)
+        first, often = grouped(kinds, times, order)
+        for at in range(0, len(first), PREDICTED_TOGETHER):
+            part, n = first[at : at + PREDICTED_TOGETHER], often[at : at + PREDICTED_TOGETHER].astype(counts.dtype)
+            groups = list(groups_of(part, order))
+            for k, (node, bit) in enumerate(nodes_of(part)):
+                np.add.at(flat, (groups[k // 4] | node) + (bit.astype(np.int64) << TABLE_BITS), n)
+
+
+def no_counts() -> np.ndarray:
+    return np.zeros((len(ORDERS), 2, 1 << TABLE_BITS), np.int32)
+
+
 def counted(texts: Iterator[bytes]) -> np.ndarray:
     """Counts by order, bit and slot over many texts."""
-    counts = np.zeros((len(ORDERS), 2, 1 << TABLE_BITS), np.int32)
-
-    def add(held: list[bytes]) -> None:
-        grams, _ = grams_of(held)
-        kinds, times = np.unique(grams, return_counts=True)
-        for i, order in enumerate(ORDERS):
-            first, often = grouped(kinds, times, order)
-            often = often.astype(counts.dtype)
-            for slot, bit in slots_of(first, order):
-                np.add.at(counts[i].reshape(-1), slot + (bit.astype(np.int64) << TABLE_BITS), often)
-
-    held, size = [], 0
+    counts, held, size = no_counts(), [], 0
     for text in texts:
         held.append(text)
         size += len(text)
         if size >= COUNTED_TOGETHER:
-            add(held)
+            added(counts, *kinds_of(grams_of(held)[0]))
             held, size = [], 0
     if held:
-        add(held)
+        added(counts, *kinds_of(grams_of(held)[0]))
     return counts
 
 
@@ -141,111 +162,232 @@ class Model:
     weights: np.ndarray
     refined: np.ndarray
 
-    def inputs(self, grams: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each bit the mixer's inputs, the gates and the bits."""
-        orders = [slots_of(grams, order) for order in ORDERS]
-        for k, places in enumerate(zip(*orders, strict=True)):
-            found = np.empty((len(grams), len(ORDERS) + 1), np.float32)
-            gate = np.zeros(len(grams), np.int64)
-            for i, (slot, _) in enumerate(places):
-                odds = self.odds[i][slot]
-                seen = odds != UNSEEN
-                gate += seen
-                found[:, i] = np.where(seen, odds, 0)
-            found[:, :-1] /= 256
-            found[:, -1] = 0.3
-            yield found, 8 * gate + k, places[0][1]
+    def inputs(self, grams: np.ndarray, alone: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each bit the mixer's inputs, by order, the gates and the bits. ``alone`` has the odds
+        by bit, order and slot without one occurrence of the bit."""
+        table = (self.odds if alone is None else alone).reshape(-1)
+        halves = zip(*[groups_of(grams, order) for order in ORDERS], strict=True)
+        firsts = (np.arange(len(ORDERS)) << TABLE_BITS)[:, None]
+        for k, (node, bit) in enumerate(nodes_of(grams)):
+            if k % 4 == 0:
+                groups = np.stack(next(halves))
+                groups |= firsts
+            if alone is not None:
+                node += bit * (len(ORDERS) << TABLE_BITS)
+            odds = table.take(groups + node, mode="wrap")
+            seen = odds != UNSEEN
+            odds *= seen
+            found = np.empty((len(ORDERS) + 1, len(grams)), np.float32)
+            np.multiply(odds, np.float32(1 / 256), out=found[:-1])
+            found[-1] = 0.3
+            gate = seen.view(np.int8).sum(axis=0, dtype=np.int8).astype(np.int64)
+            yield found, 8 * gate + k, bit
 
     def mixed(self, found: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ij,ij->i", found, self.weights[gate]), -LIMIT, LIMIT)
+        total = found[0] * self.weights[:, 0].take(gate, mode="clip")
+        for i in range(1, len(found)):
+            total += found[i] * self.weights[:, i].take(gate, mode="clip")
+        return np.clip(total, -LIMIT, LIMIT)
 
     def refine(self, odds: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Refined log-odds, with the bucket and the share of the next one they come from."""
-        place = (odds + LIMIT) * ((BUCKETS - 1) / (2 * LIMIT))
-        bucket = np.minimum(place.astype(np.int64), BUCKETS - 2)
-        share = place - bucket
-        low, high = self.refined[last, bucket], self.refined[last, bucket + 1]
-        return low + (high - low) * share, bucket, share
+        """Refined log-odds, with the place in the map and the share of the next one they come from."""
+        at = (odds + np.float32(LIMIT)) * np.float32((BUCKETS - 1) / (2 * LIMIT))
+        bucket = np.minimum(at.astype(np.int64), BUCKETS - 2)
+        share = at - bucket.astype(np.float32)
+        place = last * BUCKETS + bucket
+        refined = self.refined.reshape(-1)
+        low, high = refined.take(place, mode="clip"), refined.take(place + 1, mode="clip")
+        return low + (high - low) * share, place, share
 
     def bits(self, grams: np.ndarray) -> np.ndarray:
         """The information in each byte after the ones before it, in bits."""
-        total = np.zeros(len(grams))
+        out = [self._bits(grams[at : at + PREDICTED_TOGETHER]) for at in range(0, len(grams), PREDICTED_TOGETHER)]
+        return np.concatenate([np.zeros(0), *out])
+
+    def _bits(self, grams: np.ndarray) -> np.ndarray:
+        likely = np.ones(len(grams))
         last = byte_of(grams, 1).astype(np.int64)
         for found, gate, bit in self.inputs(grams):
             odds = self.mixed(found, gate)
             refined, _, _ = self.refine(odds, last)
-            p = 0.5 * (chance(odds) + chance(refined))
-            total -= np.log2(np.where(bit, p, 1 - p))
-        return total
+            # in double precision, so that the chances of 0 and 1 sum to one
+            p = chance(odds).astype(np.float64)
+            p += chance(refined)
+            p *= 0.5
+            likely *= np.where(bit, p, 1 - p)
+        return -np.log2(likely)
 
 
 def chance(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-odds))
 
 
-def tuned(odds: np.ndarray, texts: list[bytes]) -> Model:
-    """Fit weights and map online, in small steps over the sample's bits."""
+def fresh(odds: np.ndarray) -> Model:
     weights = np.full((8 * (len(ORDERS) + 1), len(ORDERS) + 1), 0.2, np.float32)
     grid = np.linspace(-LIMIT, LIMIT, BUCKETS, dtype=np.float32)
-    model = Model(odds, weights, np.tile(grid, (256, 1)))
-    if not texts:
-        return model
-    grams, _ = grams_of(texts)
-    last = byte_of(grams, 1).astype(np.int64)
-    rows = max(1, BATCH // 8)
-    for turn in range(PASSES):
-        for at in range(0, len(grams), rows):
-            part = grams[at : at + rows]
-            found, gate, bit = map(np.concatenate, zip(*model.inputs(part), strict=True))
-            ctx = np.tile(last[at : at + rows], 8)
-            mixed = model.mixed(found, gate)
-            missed = bit - chance(mixed)
-            refined, bucket, share = model.refine(mixed, ctx)
+    return Model(odds, weights, np.tile(grid, (256, 1)))
+
+
+def passed(
+    model: Model, grams: np.ndarray, times: np.ndarray, turn: int, alone: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Fit weights, and from the second turn on the map, in small steps over the grams. Returns how
+    many occurrences each gate and each place of the map had."""
+    rate = 0.3 / (1 + turn) ** 2
+    met, cells = np.zeros(len(model.weights)), np.zeros(model.refined.size)
+    for at in range(0, len(grams), BATCH):
+        part = grams[at : at + BATCH]
+        found, gate, bit = (np.concatenate(x, axis=-1) for x in zip(*model.inputs(part, alone), strict=True))
+        often = np.tile(times[at : at + BATCH].astype(np.float64), 8)
+        mixed = model.mixed(found, gate)
+        if turn:
+            refined, place, share = model.refine(mixed, np.tile(byte_of(part, 1).astype(np.int64), 8))
             wrong = bit - chance(refined)
-            if turn:
-                np.add.at(model.refined, (ctx, bucket), (0.03 * (1 - share) * wrong).astype(np.float32))
-                np.add.at(model.refined, (ctx, bucket + 1), (0.03 * share * wrong).astype(np.float32))
-            step, rate = found * missed[:, None], 0.3 / (1 + turn) ** 2
-            for g in range(len(model.weights)):
-                chosen = gate == g
-                if chosen.any():
-                    model.weights[g] += rate * step[chosen].mean(axis=0)
+            weight, moved = 0, 0
+            for there, own in ((place, often * (1 - share)), (place + 1, often * share)):
+                weight = weight + np.bincount(there, own, model.refined.size)
+                moved = moved + np.bincount(there, own * wrong, model.refined.size)
+            moved *= 0.03 * np.minimum(weight, FULL_STEP) / np.maximum(weight, 1e-9)
+            model.refined += moved.reshape(model.refined.shape).astype(np.float32)
+            cells += weight
+        missed = often * (bit - chance(mixed))
+        weight = np.bincount(gate, often, len(met))
+        for i, own in enumerate(found):
+            slope = np.bincount(gate, missed * own, len(met)) / np.maximum(weight, 1e-9)
+            model.weights[:, i] += (rate * slope).astype(np.float32)
+        met += weight
     np.clip(model.refined, -LIMIT, LIMIT, out=model.refined)
+    return met, cells
+
+
+def tuned(odds: np.ndarray, texts: list[bytes]) -> Model:
+    """A model fitted on texts in their order, with odds that leave nothing out."""
+    model, (grams, _) = fresh(odds), grams_of(texts)
+    for turn in range(PASSES):
+        passed(model, grams, np.ones(len(grams)), turn)
     return model
 
 
 class Scorer:
-    """Applies a model; remembers the bits of the last bytes met at each place of a table."""
+    """Applies a model; ``frequent`` are grams with places of their own in a table, and their information."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, frequent: list[tuple[bytes, bytes]] = ()):
         self.model = model
         self.known = np.full(1 << KNOWN_BITS, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.value = np.zeros(1 << KNOWN_BITS)
+        self.value = np.zeros(1 << KNOWN_BITS, np.float32)
+        for kinds, bits in frequent:
+            kinds = np.frombuffer(kinds, "<u8")
+            place = place_of(kinds)
+            self.known[place], self.value[place] = kinds, np.frombuffer(bits, "<f4")
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Every text's information with its end, in bits."""
         grams, lengths = grams_of(texts)
-        place = (mix(grams * BASE) >> np.uint64(64 - KNOWN_BITS)).astype(np.int64)
-        found = self.value[place]
+        place = place_of(grams)
+        found = self.value[place].astype(np.float64)
         missing = np.flatnonzero(self.known[place] != grams)
         if len(missing):
-            kinds, back = np.unique(grams[missing], return_inverse=True)
-            values = np.concatenate(
-                [self.model.bits(kinds[i : i + 65536]) for i in range(0, len(kinds), 65536)]
-            )
-            found[missing] = values[back]
-            home = (mix(kinds * BASE) >> np.uint64(64 - KNOWN_BITS)).astype(np.int64)
-            self.known[home], self.value[home] = kinds, values
+            sought = grams[missing]
+            kinds, _ = kinds_of(sought.copy())
+            values = self.model.bits(kinds).astype(np.float32)
+            found[missing] = values[np.searchsorted(kinds, sought)]
         starts = np.cumsum(lengths) - lengths
         return np.add.reduceat(found, starts)
 
 
-def gathered(texts: DataFrame) -> np.ndarray:
-    """The tables of log-odds from every text of column ``text``; their size is fixed."""
-    per_chunk = 1 << CHUNK_BITS
+def place_of(grams: np.ndarray) -> np.ndarray:
+    return (mix(grams * BASE) >> np.uint64(64 - KNOWN_BITS)).astype(np.int64)
+
+
+def packed(kinds: np.ndarray, times: np.ndarray) -> bytes:
+    """Ascending grams and their counts, first bytes of all together."""
+    both = np.stack([np.diff(kinds, prepend=np.uint64(0)), times.astype(np.uint64)]).astype("<u8")
+    return zlib.compress(both.reshape(-1).view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(2, 8, -1)
+    both = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u8")[..., 0].astype(np.uint64)
+    return np.cumsum(both[0], dtype=np.uint64), both[1].astype(np.int64)
+
+
+def squeezed(odds: np.ndarray) -> bytes:
+    """A table of odds, much smaller where few slots are used."""
+    return zlib.compress(odds.astype("<i2").tobytes(), 1)
+
+
+def loosened(found: list[tuple[int, bytes]]) -> np.ndarray:
+    """The odds by order and slot from squeezed chunks of them."""
+    odds = np.full((len(ORDERS) << TABLE_BITS - CHUNK_BITS, 1 << CHUNK_BITS), UNSEEN, np.int16)
+    for chunk, data in found:
+        odds[chunk] = np.frombuffer(zlib.decompress(data), "<i2")
+    return odds.reshape(len(ORDERS), -1)
+
+
+def different(texts: DataFrame, buckets: int) -> DataFrame:
+    """The different grams of column ``text`` and how often each occurs, as one row for each of so
+    many buckets."""
+
+    def shares(grams: np.ndarray) -> Iterator[tuple]:
+        kinds, times = kinds_of(grams)
+        # buckets have places of their own in the table of frequent grams
+        bucket = place_of(kinds) * buckets >> KNOWN_BITS
+        if buckets <= 1 << 16:
+            bucket = bucket.astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+        for name, (start, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+            if end > start:
+                own = order[start:end]
+                yield [name], [packed(kinds[own], times[own])]
 
     def count(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        counts = counted(lowered(t) for (column,) in batches for t in column)
+        held, n = np.empty(SORTED_TOGETHER, np.uint64), 0
+        for (column,) in batches:
+            grams, _ = grams_of([lowered(t) for t in column])
+            while len(grams):
+                part, grams = grams[: len(held) - n], grams[len(held) - n :]
+                held[n : n + len(part)] = part
+                n += len(part)
+                if n == len(held):
+                    yield from shares(held)
+                    n = 0
+        if n:
+            yield from shares(held[:n])
+
+    def merge(batches: Iterator[list[list]]) -> Iterator[tuple]:
+        bucket, held = None, []
+
+        def merged() -> tuple:
+            kinds, times = map(np.concatenate, zip(*held, strict=True))
+            # the parts ascend: this sort merges them
+            order = np.argsort(kinds, kind="stable")
+            kinds, times = kinds[order], times[order]
+            starts = np.flatnonzero(np.concatenate([[True], kinds[1:] != kinds[:-1]]))
+            return [bucket], [packed(kinds[starts], np.add.reduceat(times, starts))]
+
+        for columns in batches:
+            for name, data in zip(*columns, strict=True):
+                if name != bucket:
+                    if held:
+                        yield merged()
+                    bucket, held = name, []
+                held.append(unpacked(data))
+        if held:
+            yield merged()
+
+    schema = "bucket int, data binary"
+    parts = map_batches(texts.select("text"), count, schema)
+    dealt = parts.repartition(width(texts.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return cut(map_batches(dealt, merge, schema), "grams")
+
+
+def gathered(grams: DataFrame) -> list[list[tuple[int, bytes]]]:
+    """Three tables of log-odds from all grams, in squeezed chunks: of all occurrences, without a 0
+    at each slot, without a 1. Their size is fixed."""
+    per_chunk = 1 << CHUNK_BITS
+
+    def chunks_of(counts: np.ndarray) -> Iterator[tuple]:
         chunks = counts.reshape(len(ORDERS), 2, -1, per_chunk)
         for i, part in np.ndindex(len(ORDERS), chunks.shape[2]):
             own = chunks[i, :, part]
@@ -254,6 +396,27 @@ def gathered(texts: DataFrame) -> np.ndarray:
                 data = used.astype("<u2").tobytes() + own[:, used].T.astype("<i8").tobytes()
                 yield [i * chunks.shape[2] + part], [len(used)], [zlib.compress(data, 1)]
 
+    def count(batches: Iterator[list[list]]) -> Iterator[tuple]:
+        counts, n, most = no_counts(), 0, np.iinfo(np.int32).max
+        for (column,) in batches:
+            for data in column:
+                kinds, times = unpacked(data)
+                while len(kinds):
+                    # as many as no count can overflow on; one alone may be more than that
+                    fit = int(np.searchsorted(np.cumsum(times), most - n, side="right"))
+                    if fit:
+                        added(counts, kinds[:fit], times[:fit])
+                        n += int(times[:fit].sum())
+                        kinds, times = kinds[fit:], times[fit:]
+                    if len(kinds):
+                        yield from chunks_of(counts)
+                        counts[:], n = 0, 0
+                        if times[0] > most:
+                            times[0] -= most
+                            added(counts, kinds[:1], np.array([most]))
+                            n = most
+        yield from chunks_of(counts)
+
     def add(batches: Iterator[list[list]]) -> Iterator[tuple]:
         chunk, total = None, None
         for columns in batches:
@@ -267,31 +430,103 @@ def gathered(texts: DataFrame) -> np.ndarray:
         if chunk is not None:
             yield finished(chunk, total)
 
-    def finished(chunk: int, total: np.ndarray) -> tuple:
+    def odds_of(total: np.ndarray) -> bytes:
         odds = np.log((total[:, 1] + PRIOR) / (total[:, 0] + PRIOR)) * 256
         odds = np.clip(np.rint(odds), -32000, 32000).astype("<i2")
         odds[~total.any(axis=1)] = UNSEEN
-        return [chunk], [odds.tobytes()]
+        return squeezed(odds)
+
+    def finished(chunk: int, total: np.ndarray) -> tuple:
+        alone = [np.maximum(total - own, 0) for own in ([1, 0], [0, 1])]
+        return [chunk], [odds_of(total)], [odds_of(alone[0])], [odds_of(alone[1])]
 
-    parts = map_batches(texts.select("text"), count, "chunk int, n int, data binary")
+    parts = map_batches(grams.select("data"), count, "chunk int, n int, data binary")
     dealt = parts.repartition("chunk").sortWithinPartitions("chunk")
-    odds = np.full((len(ORDERS) << TABLE_BITS - CHUNK_BITS, per_chunk), UNSEEN, np.int16)
-    # the fixed-size tables, 29 MB in all
-    for chunk, data in map_batches(dealt, add, "chunk int, odds binary").collect():
-        odds[chunk] = np.frombuffer(data, "<i2")
-    return odds.reshape(len(ORDERS), -1)
+    # at most 29 MB each before they are squeezed; the driver never opens them
+    found = map_batches(dealt, add, "chunk int, odds binary, zero binary, one binary").collect()
+    return [[(r["chunk"], r[name]) for r in found] for name in ("odds", "zero", "one")]
+
+
+def fitted(grams: DataFrame, alone: list[list[tuple[int, bytes]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and map from all grams, with the odds without a 0 and without a 1: each bucket goes through them in an order of its own, and what
+    the buckets come to is averaged after each pass, by their occurrences at every gate and place."""
+    start = fresh(np.zeros(0, np.int16))
+    weights, refined = start.weights, start.refined
+    sent = grams.sparkSession.sparkContext.broadcast(alone)
+    for turn in range(PASSES):
+
+        def fit(batches: Iterator[list[list]], turn=turn, weights=weights, refined=refined) -> Iterator[tuple]:
+            total, alone = None, np.stack([loosened(x) for x in sent.value])
+            for columns in batches:
+                for bucket, data in zip(*columns, strict=True):
+                    kinds, times = unpacked(data)
+                    order = np.random.default_rng(bucket).permutation(len(kinds))
+                    own = Model(alone, weights.copy(), refined.copy())
+                    met, cells = passed(own, kinds[order], times[order], turn, alone)
+                    shares = np.concatenate([np.repeat(met, weights.shape[1]), cells])
+                    values = np.concatenate([own.weights.reshape(-1), own.refined.reshape(-1)])
+                    found = np.stack([shares, shares * values])
+                    total = found if total is None else total + found
+            if total is not None:
+                yield list(range(total.shape[1])), total[0].tolist(), total[1].tolist()
+
+        sums = map_batches(grams, fit, "place int, share double, value double")
+        found = sums.groupBy("place").agg(F.sum("share"), F.sum("value")).collect()
+        values = np.concatenate([weights.reshape(-1), refined.reshape(-1)])
+        for place, share, value in found:
+            if share:
+                values[place] = value / share
+        weights, refined = values[: weights.size].reshape(weights.shape), values[weights.size :].reshape(refined.shape)
+    sent.unpersist()
+    return weights, refined
+
+
+@dataclass
+class Squeezed:
+    """A model with its odds in squeezed chunks."""
+
+    odds: list[tuple[int, bytes]]
+    weights: np.ndarray
+    refined: np.ndarray
+
+    def whole(self) -> Model:
+        return Model(loosened(self.odds), self.weights, self.refined)
+
+
+def frequent(grams: DataFrame, model: Squeezed) -> list[tuple[bytes, bytes]]:
+    """Grams and their information in bits: for each place of a table of fixed size the one that occurs most often there."""
+
+    sent = grams.sparkSession.sparkContext.broadcast(model)
+
+    def choose(batches: Iterator[list[list]]) -> Iterator[tuple]:
+        model = sent.value.whole()
+        for (column,) in batches:
+            for data in column:
+                kinds, times = unpacked(data)
+                place = place_of(kinds)
+                order = np.lexsort((times, place))
+                last = np.flatnonzero(np.diff(place[order], append=-1))
+                chosen = np.sort(kinds[order[last]])
+                yield [chosen.astype("<u8").tobytes()], [model.bits(chosen).astype("<f4").tobytes()]
+
+    # 50 MB at most
+    found = map_batches(grams.select("data"), choose, "kinds binary, bits binary").collect()
+    sent.unpersist()
+    return [(r["kinds"], r["bits"]) for r in found]
 
 
 @dataclass
 class Trained:
-    """``vocabulary`` has block, word and count; the rest are numbers over training documents."""
+    """``vocabulary`` has block, word and count; ``frequent`` grams and their information by place;
+    the rest are numbers over training documents."""
 
     vocabulary: DataFrame
     tokens: int
     kinds: int
     docs: int
     blocks: int
-    model: Model
+    model: Squeezed
+    frequent: list[tuple[bytes, bytes]]
 
 
 def _keyed(df: DataFrame, allowed: Column, text: str, key: str) -> DataFrame:
@@ -349,11 +584,12 @@ def fit(df: DataFrame, allowed: Column, *, text: str = "text", key: str = "doc_i
     kinds = vocabulary.where("count > 0").select("word").distinct().count()
 
     learnt = keyed.where("learn")
-    mark = F.pmod(F.xxhash64(F.lit("tuning"), F.col("key").cast("string")), F.lit(TUNING_RANGE))
-    bound = min(TUNING_RANGE // 5, TUNING_RANGE * TUNING_DOCS // docs) if docs else 0
-    tuning = [lowered(r["text"]) for r in learnt.where(mark < bound).select("text", "key").orderBy("key", "text").collect()]
-    model = tuned(gathered(learnt.where(mark >= bound)), tuning)
-    return Trained(vocabulary.select("block", "word", "count"), tokens + docs, kinds + (docs > 0), docs, blocks, model)
+    grams = different(learnt, blocks)
+    odds, *alone = gathered(grams)
+    model = Squeezed(odds, *fitted(grams, alone))
+    del alone
+    vocabulary = vocabulary.select("block", "word", "count")
+    return Trained(vocabulary, tokens + docs, kinds + (docs > 0), docs, blocks, model, frequent(grams, model))
 
 
 def score(df: DataFrame, trained: Trained, allowed: Column, *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -365,21 +601,23 @@ def score(df: DataFrame, trained: Trained, allowed: Column, *, text: str = "text
     last word. A null text is empty. Repeated rows and null keys are scored each. Without any
     training row every word is unknown and every bit even.
     """
-    end, kinds, tokens, model = trained.docs, trained.kinds, trained.tokens, trained.model
+    end, kinds, tokens = trained.docs, trained.kinds, trained.tokens
+    sent = df.sparkSession.sparkContext.broadcast((trained.model, trained.frequent))
     floor = np.log10(tokens + kinds + 1)
 
     def task(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        scorer, block, counts = Scorer(model), None, {}
+        model, common = sent.value
+        scorer, block, counts = Scorer(model.whole(), common), None, {}
         for columns in batches:
             out, bodies = [], []
             for own, _, name, body, learn, number in zip(*columns, strict=True):
                 if own != block:
                     block, counts = own, {}
                 if learn is None:
-                    counts[body] = number
+                    counts[body.encode()] = number
                     continue
                 found = body.encode().lower()
-                seen = [counts[w.decode()] for w in found.split()] + [end]
+                seen = [*map(counts.__getitem__, found.split()), end]
                 seen = np.array(seen, np.float64)
                 base = float(np.log10(seen + 1).sum() - len(seen) * floor)
                 out.append((name, learn, len(seen), int((seen > 0).sum()), tokens, base))
