@@ -40,7 +40,7 @@ PASSES, BATCH, FULL_STEP = 2, 4096, 32
 BUCKETS, LIMIT = 33, 8.0
 # Bytes counted together, bytes sorted together, places in the table of known bytes, bytes of text
 # in a block, bytes predicted together.
-COUNTED_TOGETHER, SORTED_TOGETHER, KNOWN_BITS, BLOCK_BYTES = 1 << 21, 1 << 24, 22, 1 << 24
+COUNTED_TOGETHER, SORTED_TOGETHER, KNOWN_BITS, BLOCK_BYTES = 1 << 21, 1 << 23, 22, 1 << 24
 PREDICTED_TOGETHER = 8192
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -452,17 +452,16 @@ def fitted(grams: DataFrame, alone: list[list[tuple[int, bytes]]]) -> tuple[np.n
     the buckets come to is averaged after each pass, by their occurrences at every gate and place."""
     start = fresh(np.zeros(0, np.int16))
     weights, refined = start.weights, start.refined
-    sent = grams.sparkSession.sparkContext.broadcast(alone)
     for turn in range(PASSES):
 
         def fit(batches: Iterator[list[list]], turn=turn, weights=weights, refined=refined) -> Iterator[tuple]:
-            total, alone = None, np.stack([loosened(x) for x in sent.value])
+            total, odds = None, np.stack([loosened(x) for x in alone])
             for columns in batches:
                 for bucket, data in zip(*columns, strict=True):
                     kinds, times = unpacked(data)
                     order = np.random.default_rng(bucket).permutation(len(kinds))
-                    own = Model(alone, weights.copy(), refined.copy())
-                    met, cells = passed(own, kinds[order], times[order], turn, alone)
+                    own = Model(odds, weights.copy(), refined.copy())
+                    met, cells = passed(own, kinds[order], times[order], turn, odds)
                     shares = np.concatenate([np.repeat(met, weights.shape[1]), cells])
                     values = np.concatenate([own.weights.reshape(-1), own.refined.reshape(-1)])
                     found = np.stack([shares, shares * values])
@@ -477,7 +476,6 @@ def fitted(grams: DataFrame, alone: list[list[tuple[int, bytes]]]) -> tuple[np.n
             if share:
                 values[place] = value / share
         weights, refined = values[: weights.size].reshape(weights.shape), values[weights.size :].reshape(refined.shape)
-    sent.unpersist()
     return weights, refined
 
 
@@ -496,10 +494,8 @@ class Squeezed:
 def frequent(grams: DataFrame, model: Squeezed) -> list[tuple[bytes, bytes]]:
     """Grams and their information in bits: for each place of a table of fixed size the one that occurs most often there."""
 
-    sent = grams.sparkSession.sparkContext.broadcast(model)
-
     def choose(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        model = sent.value.whole()
+        whole = model.whole()
         for (column,) in batches:
             for data in column:
                 kinds, times = unpacked(data)
@@ -507,11 +503,10 @@ def frequent(grams: DataFrame, model: Squeezed) -> list[tuple[bytes, bytes]]:
                 order = np.lexsort((times, place))
                 last = np.flatnonzero(np.diff(place[order], append=-1))
                 chosen = np.sort(kinds[order[last]])
-                yield [chosen.astype("<u8").tobytes()], [model.bits(chosen).astype("<f4").tobytes()]
+                yield [chosen.astype("<u8").tobytes()], [whole.bits(chosen).astype("<f4").tobytes()]
 
     # 50 MB at most
     found = map_batches(grams.select("data"), choose, "kinds binary, bits binary").collect()
-    sent.unpersist()
     return [(r["kinds"], r["bits"]) for r in found]
 
 
@@ -602,11 +597,11 @@ def score(df: DataFrame, trained: Trained, allowed: Column, *, text: str = "text
     training row every word is unknown and every bit even.
     """
     end, kinds, tokens = trained.docs, trained.kinds, trained.tokens
-    sent = df.sparkSession.sparkContext.broadcast((trained.model, trained.frequent))
+    # with the task's code, not as a variable: workers would keep it when they are idle
+    model, common = trained.model, trained.frequent
     floor = np.log10(tokens + kinds + 1)
 
     def task(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        model, common = sent.value
         scorer, block, counts = Scorer(model.whole(), common), None, {}
         for columns in batches:
             out, bodies = [], []
