@@ -271,14 +271,14 @@ def tuned(odds: np.ndarray, texts: list[bytes]) -> Model:
 class Scorer:
     """Applies a model; ``frequent`` are grams with places of their own in a table, and their information."""
 
-    def __init__(self, model: Model, frequent: list[tuple[bytes, bytes]] = ()):
+    def __init__(self, model: Model, frequent: list[bytes] = ()):
         self.model = model
         self.known = np.full(1 << KNOWN_BITS, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.value = np.zeros(1 << KNOWN_BITS, np.float32)
-        for kinds, bits in frequent:
-            kinds = np.frombuffer(kinds, "<u8")
+        for data in frequent:
+            kinds, bits = unpacked(data)
             place = place_of(kinds)
-            self.known[place], self.value[place] = kinds, np.frombuffer(bits, "<f4")
+            self.known[place], self.value[place] = kinds, bits.astype("<u4").view("<f4")
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Every text's information with its end, in bits."""
@@ -311,16 +311,35 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[0], dtype=np.uint64), both[1].astype(np.int64)
 
 
-def squeezed(odds: np.ndarray) -> bytes:
-    """A table of odds, much smaller where few slots are used."""
-    return zlib.compress(odds.astype("<i2").tobytes(), 1)
+def squeezed(counts: np.ndarray) -> bytes:
+    """Counts of a 0 and a 1 by slot, first bytes of all together; much smaller where few slots are used."""
+    used = np.ascontiguousarray(counts.T).astype("<i8").view(np.uint8).reshape(2, -1, 8)
+    width = max(1, int(counts.max()).bit_length() + 7 >> 3)
+    return zlib.compress(used[..., :width].transpose(0, 2, 1).tobytes(), 1)
 
 
-def loosened(found: list[tuple[int, bytes]]) -> np.ndarray:
-    """The odds by order and slot from squeezed chunks of them."""
+def odds_of(zeros: np.ndarray, ones: np.ndarray, left: int | None) -> np.ndarray:
+    """Log-odds from counts, without one occurrence of the bit ``left``."""
+    zeros, ones = np.maximum(zeros - (left == 0), 0), np.maximum(ones - (left == 1), 0)
+    odds = np.log((ones + PRIOR) / (zeros + PRIOR)) * 256
+    odds = np.clip(np.rint(odds), -32000, 32000).astype(np.int16)
+    odds[(zeros | ones) == 0] = UNSEEN
+    return odds
+
+
+def loosened(table: tuple[list[tuple[int, bytes]], int | None]) -> np.ndarray:
+    """The odds by order and slot from squeezed chunks of counts, with the bit to leave one out of."""
+    found, left = table
     odds = np.full((len(ORDERS) << TABLE_BITS - CHUNK_BITS, 1 << CHUNK_BITS), UNSEEN, np.int16)
+    # of counts below 256, which nearly all are
+    small = odds_of(np.arange(1 << 16) >> 8, np.arange(1 << 16) & 255, left)
     for chunk, data in found:
-        odds[chunk] = np.frombuffer(zlib.decompress(data), "<i2")
+        planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(2, -1, 1 << CHUNK_BITS)
+        odds[chunk] = small[planes[0, 0].astype(np.uint16) << 8 | planes[1, 0]]
+        large = np.flatnonzero(planes[:, 1:].any(axis=(0, 1)))
+        if len(large):
+            counts = sum(planes[:, i, large].astype(np.int64) << 8 * i for i in range(planes.shape[1]))
+            odds[chunk, large] = odds_of(*counts, left)
     return odds.reshape(len(ORDERS), -1)
 
 
@@ -382,9 +401,9 @@ def different(texts: DataFrame, buckets: int) -> DataFrame:
     return cut(map_batches(dealt, merge, schema), "grams")
 
 
-def gathered(grams: DataFrame) -> list[list[tuple[int, bytes]]]:
-    """Three tables of log-odds from all grams, in squeezed chunks: of all occurrences, without a 0
-    at each slot, without a 1. Their size is fixed."""
+def gathered(grams: DataFrame) -> list[tuple[list[tuple[int, bytes]], int | None]]:
+    """Three tables of log-odds from all grams: of all occurrences, without a 0 at each slot, without
+    a 1. All come from the same squeezed chunks of counts, whose size is fixed."""
     per_chunk = 1 << CHUNK_BITS
 
     def chunks_of(counts: np.ndarray) -> Iterator[tuple]:
@@ -423,31 +442,21 @@ def gathered(grams: DataFrame) -> list[list[tuple[int, bytes]]]:
             for name, n, packed in zip(*columns, strict=True):
                 if name != chunk:
                     if chunk is not None:
-                        yield finished(chunk, total)
+                        yield [chunk], [squeezed(total)]
                     chunk, total = name, np.zeros((per_chunk, 2), np.int64)
                 data = zlib.decompress(packed)
                 total[np.frombuffer(data, "<u2", n)] += np.frombuffer(data, "<i8", offset=2 * n).reshape(n, 2)
         if chunk is not None:
-            yield finished(chunk, total)
-
-    def odds_of(total: np.ndarray) -> bytes:
-        odds = np.log((total[:, 1] + PRIOR) / (total[:, 0] + PRIOR)) * 256
-        odds = np.clip(np.rint(odds), -32000, 32000).astype("<i2")
-        odds[~total.any(axis=1)] = UNSEEN
-        return squeezed(odds)
-
-    def finished(chunk: int, total: np.ndarray) -> tuple:
-        alone = [np.maximum(total - own, 0) for own in ([1, 0], [0, 1])]
-        return [chunk], [odds_of(total)], [odds_of(alone[0])], [odds_of(alone[1])]
+            yield [chunk], [squeezed(total)]
 
     parts = map_batches(grams.select("data"), count, "chunk int, n int, data binary")
     dealt = parts.repartition("chunk").sortWithinPartitions("chunk")
-    # at most 29 MB each before they are squeezed; the driver never opens them
-    found = map_batches(dealt, add, "chunk int, odds binary, zero binary, one binary").collect()
-    return [[(r["chunk"], r[name]) for r in found] for name in ("odds", "zero", "one")]
+    # one table, some 20 MB; the driver never opens it
+    found = [(r["chunk"], r["data"]) for r in map_batches(dealt, add, "chunk int, data binary").collect()]
+    return [(found, left) for left in (None, 0, 1)]
 
 
-def fitted(grams: DataFrame, alone: list[list[tuple[int, bytes]]]) -> tuple[np.ndarray, np.ndarray]:
+def fitted(grams: DataFrame, alone: list[tuple[list[tuple[int, bytes]], int | None]]) -> tuple[np.ndarray, np.ndarray]:
     """Weights and map from all grams, with the odds without a 0 and without a 1: each bucket goes through them in an order of its own, and what
     the buckets come to is averaged after each pass, by their occurrences at every gate and place."""
     start = fresh(np.zeros(0, np.int16))
@@ -483,7 +492,7 @@ def fitted(grams: DataFrame, alone: list[list[tuple[int, bytes]]]) -> tuple[np.n
 class Squeezed:
     """A model with its odds in squeezed chunks."""
 
-    odds: list[tuple[int, bytes]]
+    odds: tuple[list[tuple[int, bytes]], int | None]
     weights: np.ndarray
     refined: np.ndarray
 
@@ -491,7 +500,7 @@ class Squeezed:
         return Model(loosened(self.odds), self.weights, self.refined)
 
 
-def frequent(grams: DataFrame, model: Squeezed) -> list[tuple[bytes, bytes]]:
+def frequent(grams: DataFrame, model: Squeezed) -> list[bytes]:
     """Grams and their information in bits: for each place of a table of fixed size the one that occurs most often there."""
 
     def choose(batches: Iterator[list[list]]) -> Iterator[tuple]:
@@ -503,11 +512,10 @@ def frequent(grams: DataFrame, model: Squeezed) -> list[tuple[bytes, bytes]]:
                 order = np.lexsort((times, place))
                 last = np.flatnonzero(np.diff(place[order], append=-1))
                 chosen = np.sort(kinds[order[last]])
-                yield [chosen.astype("<u8").tobytes()], [whole.bits(chosen).astype("<f4").tobytes()]
+                yield ([packed(chosen, whole.bits(chosen).astype("<f4").view("<u4"))],)
 
-    # 50 MB at most
-    found = map_batches(grams.select("data"), choose, "kinds binary, bits binary").collect()
-    return [(r["kinds"], r["bits"]) for r in found]
+    # 50 MB at most before they are packed
+    return [r["data"] for r in map_batches(grams.select("data"), choose, "data binary").collect()]
 
 
 @dataclass
@@ -521,7 +529,7 @@ class Trained:
     docs: int
     blocks: int
     model: Squeezed
-    frequent: list[tuple[bytes, bytes]]
+    frequent: list[bytes]
 
 
 def _keyed(df: DataFrame, allowed: Column, text: str, key: str) -> DataFrame:
