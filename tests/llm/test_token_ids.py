@@ -1,0 +1,46 @@
+"""Ids of pieces that go to the library together."""
+
+import numpy as np
+import pytest
+
+from threadloom.llm import bpe, token_ids
+
+TEXTS = [
+    "", " ", "one", " one two  three\n\nfour\tfive \r\n", "Ünïcode é ẞ 漢字 漢 字　字 ​ x y z",
+    "it's 12,345.67 'quoted' we'll <b> <| not special <|endoftext|> after", "odd\x1cseparator here \x85 there",
+    "\U0001f600 \U0001f468‍\U0001f469 smile \u0000 zero ﻿ mark", "a" * 3000 + " " + "b c " * 500, "trailing   ", "\n\n\nlead",
+    " � ퟿  line para", "\x0bvertical \x0cform\x0b feed",
+]
+
+
+class Counted:
+    def __init__(self, library):
+        self.library, self.texts = library, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.library.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_whole_texts(name):
+    rnd = np.random.default_rng(3)
+    alphabet = list(" \n\t\r\x0b\x1c\x85 　abAB.,'’09é漢́\U0001f600<|")
+    texts = TEXTS + ["".join(rnd.choice(alphabet, 30)) for _ in range(3000)]
+    encoder = token_ids.Encoder(bpe.default_path(name))
+    want = [encoder._library([t])[0] for t in texts]
+    assert encoder.encode(texts) == want
+    assert encoder.encode(texts[::-1]) == want[::-1]
+
+
+def test_pieces_go_to_the_library_together():
+    encoder = token_ids.Encoder(bpe.default_path("byte_bpe_50k.json"))
+    encoder.library = Counted(encoder.library)
+    encoder.encode([f"x{i} y{i} z{i} w{i}" for i in range(1000)])
+    # texts begin without white space, so their first pieces go alone
+    assert encoder.library.texts <= 1001
+
+
+def test_later_tasks_find_the_encoder():
+    path = bpe.default_path("byte_bpe_50k.json")
+    assert token_ids.kept_encoder(path) is token_ids.kept_encoder(path)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm.common import map_batches, part_number, text_of, width
-from threadloom.llm.token_ids import Encoder
+from threadloom.llm.token_ids import kept_encoder
 
 END_ID = 0
 LANES, STEPS = 4096, 128
@@ -66,11 +66,13 @@ class Mixer:
     def predict(self, contexts: tuple[np.ndarray, ...]) -> np.ndarray:
         """12-bit probabilities; keeps what :meth:`learn` needs."""
         self.contexts = contexts
-        self.odds = [STRETCH[t[c] >> 4] for t, c in zip(self.tables, contexts, strict=True)]
+        # take() with a mode looks up much faster than brackets
+        self.old = [t.take(c, mode="clip") for t, c in zip(self.tables, contexts, strict=True)]
+        self.odds = [STRETCH.take(x >> 4, mode="clip") for x in self.old]
         gate = contexts[2]
-        mixed = self.weights[0][gate] * self.odds[0]
-        mixed += self.weights[1][gate] * self.odds[1]
-        mixed += self.weights[2][gate] * self.odds[2]
+        mixed = self.weights[0].take(gate, mode="clip") * self.odds[0]
+        mixed += self.weights[1].take(gate, mode="clip") * self.odds[1]
+        mixed += self.weights[2].take(gate, mode="clip") * self.odds[2]
         mixed >>= 16
         mixed += 2047
         self.p = SQUASH.take(mixed, mode="clip")
@@ -78,8 +80,7 @@ class Mixer:
 
     def learn(self, bits: np.ndarray) -> None:
         target = bits * np.int32(65535)
-        for table, context in zip(self.tables[:2], self.contexts[:2], strict=True):
-            old = table[context]
+        for table, context, old in zip(self.tables[:2], self.contexts[:2], self.old[:2], strict=True):
             table[context] = old + ((target - old) >> RATE)
         self.steps += 1
         if self.steps % WEIGHT_STEPS and len(bits) > 64:
@@ -119,7 +120,7 @@ class Model:
 
     def candidates(self) -> tuple[np.ndarray, np.ndarray]:
         self.slot = (self.before * 40_503 + self.last * 2_654_435_761 >> 7) & (1 << HASH_BITS) - 1
-        second, first = self.order2[self.slot], self.order1[self.last]
+        second, first = self.order2.take(self.slot, mode="clip"), self.order1.take(self.last, mode="clip")
         self.gate = (second == first).astype(np.int64)
         return second, first
 
@@ -150,7 +151,7 @@ class Coder:
         self.range = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
         self.at = np.zeros(lanes, np.int64)
 
-    def _narrow(self, lanes, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    def _narrow(self, lanes: np.ndarray | slice, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         """Narrow the lanes' ranges to a part of them and shift out settled words."""
         low = self.low[lanes] + unit * start
         span = unit * size
@@ -162,8 +163,9 @@ class Coder:
                 break
             if short.any():
                 span = np.where(short, (~low + np.uint64(1)) & (BOTTOM - np.uint64(1)), span)
-            self._shift(lanes[moving], low[moving])
-            low[moving] <<= WORD
+            settled_low = low[moving]
+            self._shift(moving if isinstance(lanes, slice) else lanes[moving], settled_low)
+            low[moving] = settled_low << WORD
             span[moving] <<= WORD
         self.low[lanes], self.range[lanes] = low, span
 
@@ -180,7 +182,7 @@ class Writer(Coder):
         self.words[lanes, self.at[lanes]] = (low >> np.uint64(48)).astype(np.uint16)
         self.at[lanes] += 1
 
-    def bits(self, lanes: np.ndarray, bits: np.ndarray, p: np.ndarray) -> None:
+    def bits(self, lanes: np.ndarray | slice, bits: np.ndarray, p: np.ndarray) -> None:
         """Code bits whose probabilities of 1 are ``p`` of 4096."""
         unit, ones = self.range[lanes] >> np.uint64(12), p.astype(np.uint64)
         start = np.where(bits, np.uint64(0), ones)
@@ -224,7 +226,7 @@ class Reader(Coder):
         self.code[lanes] = (self.code[lanes] << WORD) | word
         self.at[lanes] = at + 1
 
-    def bits(self, lanes: np.ndarray, p: np.ndarray) -> np.ndarray:
+    def bits(self, lanes: np.ndarray | slice, p: np.ndarray) -> np.ndarray:
         unit, ones = self.range[lanes] >> np.uint64(12), p.astype(np.uint64)
         bits = (self.code[lanes] - self.low[lanes]) < unit * ones
         start = np.where(bits, np.uint64(0), ones)
@@ -235,8 +237,8 @@ class Reader(Coder):
         unit = self.range[lanes] // np.uint64(model.total)
         value = ((self.code[lanes] - self.low[lanes]) // unit).astype(np.int64)
         ids = np.searchsorted(model.ends, np.minimum(value, model.total - 1), side="right")
-        size = model.counts[ids]
-        start = (model.ends[ids] - size).astype(np.uint64)
+        size = model.counts.take(ids, mode="clip")
+        start = (model.ends.take(ids, mode="clip") - size).astype(np.uint64)
         self._narrow(lanes, unit, start, size.astype(np.uint64))
         return ids
 
@@ -258,7 +260,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     grid = np.zeros(lanes * steps, np.int64)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    model, writer, every = Model(vocabulary, lanes), Writer(lanes, steps), np.arange(lanes)
+    model, writer, every = Model(vocabulary, lanes), Writer(lanes, steps), slice(None)
     for step in grid:
         second, first = model.candidates()
         right = step == second
@@ -281,7 +283,7 @@ def decode_block(payload: bytes, n: int, vocabulary: int) -> np.ndarray:
     """The ids :func:`encode_block` was given."""
     lanes, steps = shape_of(n)
     grid = np.empty((steps, lanes), np.int64)
-    model, reader, every = Model(vocabulary, lanes), Reader(lanes, steps, payload), np.arange(lanes)
+    model, reader, every = Model(vocabulary, lanes), Reader(lanes, steps, payload), slice(None)
     for t in range(steps):
         second, first = model.candidates()
         right = reader.bits(every, model.mixers[0].predict(model.contexts()))
@@ -338,7 +340,7 @@ def write_tokens(
             yield keys, counts, b"".join(held)
 
     def task(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        encoder = Encoder(path)
+        encoder = kept_encoder(path)
         size = max(encoder.library.get_vocab_size(with_added_tokens=True), end_id + 1)
 
         def documents():

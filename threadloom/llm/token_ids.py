@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -15,6 +16,9 @@ GENERATION = 400_000
 # A mark that ends a word: no vocabulary word crosses its place.
 END_MARK = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[,.](?:\s|$))")
 
+# White space on which all libraries agree.
+JOINING = frozenset(" \t\n\r")
+
 
 def is_latin(text: str) -> bool:
     """Whether no letter is composed, and lower case the same in every library."""
@@ -46,6 +50,8 @@ class Encoder:
         self.marks = {token.content[:2] for token in added}
         # the vocabulary with word ends drops white space, the other one encodes it
         self.keeps_white_space = bool(self.library.encode(" ", add_special_tokens=False).ids)
+        # bytes of each id's token, where a text's tokens hold exactly the bytes of the text
+        self.sizes = None if self.library.normalizer or not self.keeps_white_space else self._sizes()
         self.store: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -53,6 +59,31 @@ class Encoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _sizes(self) -> np.ndarray:
+        size = np.zeros(self.library.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, number in self.library.get_vocab(with_added_tokens=False).items():
+            size[number] = len(token)
+        return size
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece. Those that begin with white space and end with none go to the
+        library as one text, as they could stand in one; bytes tell where each piece's ids end."""
+        if self.sizes is None:
+            return self._library(pieces)
+        joined = [p for p in pieces if p[:1] in JOINING and not p[-1].isspace()]
+        found = {}
+        if joined:
+            ids = np.array(self.library.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum([len(p.encode()) for p in joined])
+            reached = np.cumsum(self.sizes[ids])
+            at = np.searchsorted(reached, ends)
+            if reached[-1] == ends[-1] and (reached[at] == ends).all():
+                data, borders = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+                found = {p: data[a:b] for p, a, b in zip(joined, borders, borders[1:], strict=False)}
+        rest = [p for p in pieces if p not in found]
+        found.update(zip(rest, self._library(rest), strict=True))
+        return [found[p] for p in pieces]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         cut = [None if any(s in text for s in self.marks) else self._pieces(text) for text in texts]
@@ -82,5 +113,11 @@ class Encoder:
                 missing.append(piece)
             else:
                 store[piece] = known
-        store.update(zip(missing, self._library(missing), strict=True))
+        store.update(zip(missing, self._ids(missing), strict=True))
         return store
+
+
+@lru_cache(maxsize=1)
+def kept_encoder(path: str) -> Encoder:
+    """An encoder that stays with its worker, so that later tasks find its pieces."""
+    return Encoder(path)
