@@ -18,6 +18,9 @@ from threadloom.functions import empty_array, format_iso
 from threadloom.schemas import COMMENT_FIELDS, COMMENT_LIST, POST_FIELDS, ROW_ID, entity
 from threadloom.sources import with_row_id
 
+# Rows of a compressed XML file, at most.
+PACKED_ROWS = 50_000
+
 
 def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -161,7 +164,13 @@ def xml_lines(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.concat_ws(" ", F.lit("<row"), *attributes, F.lit("/>")).alias("value"))
 
 
-def write_xml(df: DataFrame, name: str, path: str) -> str:
-    """Write rows as XML lines, one part file per task, and return the path."""
-    xml_lines(df, name).write.text(path)
+def write_xml(df: DataFrame, name: str, path: str, *, packed: bool = False) -> str:
+    """Write rows as XML lines, one part file per task, and return the path. ``packed`` compresses
+    them; a compressed file is read by one task, so a task then writes several."""
+    writer = xml_lines(df, name).write
+    if packed:
+        # the quick level takes no longer than plain text
+        gzip = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+        writer = writer.options(**gzip, maxRecordsPerFile=PACKED_ROWS)
+    writer.text(path)
     return path

@@ -34,7 +34,7 @@ from threadloom.operators.threads import (
     orphan_answers,
 )
 from threadloom.schemas import COMMENT_LIST, ROW_ID
-from threadloom.session import scratch_dir
+from threadloom.session import job_folder, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -253,13 +253,14 @@ def _text_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _posts_xml(spark: SparkSession, sf_dir: str) -> str:
-    return A.write_xml(A.star_posts(spark, sf_dir), "post", scratch_dir(spark, "posts-xml"))
+def _posts_xml(spark: SparkSession, sf_dir: str, *, packed: bool = False) -> str:
+    path = scratch_dir(spark, "posts-xml")
+    return A.write_xml(A.star_posts(spark, sf_dir), "post", path, packed=packed)
 
 
-def _comments_xml(spark: SparkSession, sf_dir: str) -> str:
+def _comments_xml(spark: SparkSession, sf_dir: str, *, packed: bool = False) -> str:
     path = scratch_dir(spark, "comments-xml")
-    return A.write_xml(A.star_comments(spark, sf_dir), "comment", path)
+    return A.write_xml(A.star_comments(spark, sf_dir), "comment", path, packed=packed)
 
 
 # --- scans ----------------------------------------------------------------------------------
@@ -919,7 +920,8 @@ def i3_threads(spark, sf_dir):
 @query("i4_threads_with_comments", FULL_THREAD_VIEW, POSTS, COMMENTS, QUESTIONS, ANSWERS)
 def i4_threads_with_comments(spark, sf_dir):
     base = scratch_dir(spark, "tables")
-    plans.threads_with_comments(
-        spark, _posts_xml(spark, sf_dir), _comments_xml(spark, sf_dir), base
-    )
+    # plain XML takes more disk than all tables and shuffles; it goes when the tables are there
+    with job_folder(spark):
+        dumps = _posts_xml(spark, sf_dir, packed=True), _comments_xml(spark, sf_dir, packed=True)
+        plans.threads_with_comments(spark, *dumps, base)
     return _full_thread_view(_stored(spark, base))

@@ -22,7 +22,7 @@ from threadloom.operators.quality import (
 from threadloom.operators.routing import sample_lines
 from threadloom.operators.threads import build_threads
 from threadloom.schemas import entity
-from threadloom.session import job_folder, sized_shuffle, stored_bytes
+from threadloom.session import freed_shuffles, job_folder, sized_shuffle, stored_bytes
 from threadloom.sinks import stage_rejects, stage_scan, stage_table
 from threadloom.sinks.tables import ASIDE
 from threadloom.sources import (
@@ -163,7 +163,7 @@ def _stage_threads(
     # a catalog table's files are not listed
     paths = [new.path(t) for t in shuffled] if hasattr(new, "path") else []
     stored = stored_bytes(spark, *paths) if paths else 0
-    with sized_shuffle(spark, SHUFFLE_EXPANSION * stored):
+    with freed_shuffles(spark), sized_shuffle(spark, SHUFFLE_EXPANSION * stored):
         threads = build_threads(
             posts.drop("comments"), comments if with_comments else None, max_group=max_group
         )

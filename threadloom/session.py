@@ -92,6 +92,22 @@ def unsorted_writes(spark: SparkSession, files: int = 2):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Let Spark remove the shuffle files of each enclosed action when it ends; else they stay until
+    the driver happens to collect its garbage. No DataFrame should be run twice inside."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @contextmanager
 def sized_shuffle(spark: SparkSession, nbytes: int):
     """Raise the number of shuffle partitions, for the enclosed actions, to fit the data, up to
